@@ -23,10 +23,11 @@ with sized as (
 ), filled as (
   select *, 3 * source_size as cap,
     sum(3 * source_size) over w - 3 * source_size as cap_before, sum(weight) over () - (sum(weight) over w - weight) as weight_left,
-    sum(source_size) over () as total
+    sum(source_size) over () as total, row_number() over w as place
   from ranked window w as (order by 3 * source_size / weight, source_size, encode(source) nulls last rows unbounded preceding)
 ), level as (
-  select min(case when weight * ((total - cap_before)::bigint / weight_left::bigint) < cap then (total - cap_before)::bigint / weight_left::bigint end) as level from filled
+  select arg_min((total - cap_before)::bigint / weight_left::bigint, place) as level from filled
+  where weight * ((total - cap_before)::bigint / weight_left::bigint) < cap
 ), target as (
   select source, source_size, case when cap <= weight * coalesce(level, 'infinity'::double) then cap::double else weight * level end as target
   from filled, level
