@@ -45,12 +45,13 @@ class Vocabulary:
         self.start -= np.logaddexp.reduce(self.start)
         self.index = {p: i for i, p in enumerate(self.pieces)}
         self.longest = max(map(len, self.pieces))
-        # open addressing: keys of 64 bits, at most PROBES steps
-        keys = [self.key(p) for p in self.pieces]
-        self.keys, self.ids, self.probes = np.zeros(1 << SLOTS, np.uint64), np.full(1 << SLOTS, -1, np.int32), 1
-        for i, k in enumerate(keys):
+        # open addressing over the keys of all beginnings of pieces
+        table = {self.key(piece[:k]): -1 for piece in self.pieces for k in range(1, len(piece))}
+        table |= {self.key(p): i for i, p in enumerate(self.pieces)}
+        self.keys, self.ids, self.probes = np.zeros(1 << SLOTS, np.uint64), np.full(1 << SLOTS, -2, np.int32), 1
+        for k, i in table.items():
             at, step = self.slot(k), 1
-            while self.ids[at] >= 0:
+            while self.ids[at] != -2:
                 at, step = (at + 1) % (1 << SLOTS), step + 1
             self.keys[at], self.ids[at], self.probes = k, i, max(self.probes, step)
 
@@ -67,50 +68,63 @@ class Vocabulary:
         return (key * MULTIPLIER & (2**64 - 1)) >> (64 - SLOTS)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
-        """Piece of each key, -1 for none."""
+        """Piece of each key, -1 for a piece's beginning, -2 for none."""
         at = ((keys * np.uint64(MULTIPLIER)) >> np.uint64(64 - SLOTS)).astype(np.int64)
-        out = np.where(self.keys[at] == keys, self.ids[at], -1)
-        for _ in range(self.probes - 1):
-            at = (at + 1) & ((1 << SLOTS) - 1)
-            out = np.where((out < 0) & (self.keys[at] == keys), self.ids[at], out)
+        out = np.where(self.keys[at] == keys, self.ids[at], -2)
+        left = np.flatnonzero((out == -2) & (self.ids[at] != -2))
+        while len(left):
+            at[left] = (at[left] + 1) & ((1 << SLOTS) - 1)
+            hit = self.keys[at[left]] == keys[left]
+            out[left[hit]] = self.ids[at[left[hit]]]
+            left = left[~hit & (self.ids[at[left]] != -2)]
         return out
 
-    def lattice(self, words: np.ndarray) -> dict[tuple[int, int], np.ndarray]:
-        """Of words of one length, as a byte matrix: piece of each (start, stop) at which some word has one."""
-        n = words.shape[1]
-        out = {}
+    def lattice(self, words: np.ndarray) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+        """Of words of one length, as a byte matrix: (start, stop, words that have a piece there, pieces), by start."""
+        n, out = words.shape[1], []
+        codes = words.astype(np.uint64) + np.uint64(1)
         for i in range(n):
-            h = np.zeros(len(words), np.uint64)
-            for j in range(i, min(n, i + self.longest)):
-                h = (h ^ (words[:, j].astype(np.uint64) + np.uint64(1))) * np.uint64(MULTIPLIER)
+            rows, h = np.arange(len(words)), np.zeros(len(words), np.uint64)
+            for j in range(i, n):
+                h = (h ^ codes[rows, j]) * np.uint64(MULTIPLIER)
                 h ^= h >> np.uint64(29)
                 got = self.find(h)
-                if (got >= 0).any():
-                    out[i, j + 1] = got
+                if (is_piece := got >= 0).any():
+                    out.append((i, j + 1, rows[is_piece], got[is_piece]))
+                alive = got != -2
+                if not alive.any():
+                    break
+                if not alive.all():
+                    rows, h = rows[alive], h[alive]
         return out
 
-    def forward(self, lattice: dict, p: np.ndarray, rows: int, n: int) -> list[np.ndarray]:
-        """Log probability of all ways to each place."""
-        table = np.r_[p, -np.inf]
-        alpha = [np.zeros(rows)] + [None] * n
+    def forward(self, lattice: list, p: np.ndarray, rows: int, n: int) -> np.ndarray:
+        """Log probability of all ways to each place, by word; terms are added relative to the place before."""
+        alpha, chance = np.zeros((n + 1, rows)), np.exp(p)
+        ends: list[list] = [[] for _ in range(n + 1)]
+        for edge in lattice:
+            ends[edge[1]].append(edge)
         for j in range(1, n + 1):
-            ways = np.stack([alpha[i] + table[lattice[i, j]] for i in range(max(0, j - self.longest), j) if (i, j) in lattice])
-            top = ways.max(0)
-            alpha[j] = top + np.log(np.exp(ways - top).sum(0))
+            total = np.zeros(rows)
+            for i, _, at, piece in ends[j]:
+                total[at] += np.exp(alpha[i, at] - alpha[j - 1, at]) * chance[piece]
+            alpha[j] = alpha[j - 1] + np.log(total)
         return alpha
 
-    def expected(self, lattice: dict, alpha: list[np.ndarray], p: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
+    def expected(self, lattice: list, alpha: np.ndarray, p: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
         """Expected count of each piece over words that occur `counts` times."""
-        table = np.r_[p, -np.inf]
-        beta = [None] * n + [np.zeros(len(counts))]
+        beta, chance, out = np.zeros((n + 1, len(counts))), np.exp(p), np.zeros(len(p))
+        starts: list[list] = [[] for _ in range(n + 1)]
+        for edge in lattice:
+            starts[edge[0]].append(edge)
         for i in range(n - 1, -1, -1):
-            ways = np.stack([beta[j] + table[lattice[i, j]] for j in range(i + 1, min(n, i + self.longest) + 1) if (i, j) in lattice])
-            top = ways.max(0)
-            beta[i] = top + np.log(np.exp(ways - top).sum(0))
-        out = np.zeros(len(p) + 1)
-        for (i, j), got in lattice.items():
-            out += np.bincount(got % len(out), np.exp(alpha[i] + table[got] + beta[j] - alpha[n]) * counts, len(out))
-        return out[:-1]
+            total = np.zeros(len(counts))
+            for _, j, at, piece in starts[i]:
+                total[at] += np.exp(beta[j, at] - beta[i + 1, at]) * chance[piece]
+            beta[i] = beta[i + 1] + np.log(total)
+            for _, j, at, piece in starts[i]:
+                out += np.bincount(piece, np.exp(alpha[i, at] + beta[j, at] - alpha[n, at]) * chance[piece] * counts[at], len(out))
+        return out
 
     def one(self, word: bytes, p: np.ndarray, counts: np.ndarray | None = None, times: float = 1) -> float:
         """Marginal of a long word; adds expected counts."""
@@ -264,12 +278,14 @@ def score(docs: DataFrame, path: str, training, block_bytes: int = 2_000_000, ro
         return pa.table({"block": pa.array([table.column("block")[0].as_py()] * len(made), pa.int64()), "word": pa.array(made, pa.binary())})
 
     def judge(stats: pa.Table, table: pa.Table) -> pa.Table:
-        unseen = math.log10(1 / (n + v + 1))
-        known = {w: (c > 0, math.log10((c + 1) / (n + v + 1)), m) for w, c, m in zip(*(stats.column(k).to_pylist() for k in ("word", "c", "m")), strict=True)}
+        place = dict(zip(stats.column("word").to_pylist(), range(stats.num_rows), strict=True)).__getitem__
+        c, m = (stats.column(k).to_numpy() for k in ("c", "m"))
+        known, base, own = c > 0, np.log10((c + 1) / (n + v + 1)), math.log10((ends + 1) / (n + v + 1))
         out = []
         for t in table.column("text"):
-            found = [known[w] for w in tokens(t.as_py())]
-            out.append((len(found) + 1, sum(f[0] for f in found) + (ends > 0), math.fsum(f[1] for f in found) + (math.log10((ends + 1) / (n + v + 1)) if ends else unseen), (math.fsum(f[2] for f in found) + end) / math.log(10)))
+            found = tokens(t.as_py())
+            at = np.fromiter(map(place, found), np.int64, len(found))
+            out.append((len(at) + 1, int(known[at].sum()) + (ends > 0), float(base[at].sum()) + own, (float(m[at].sum()) + end) / math.log(10)))
         k = len(out)
         cols = list(zip(*out, strict=True)) or [[]] * 4
         return pa.table({"doc_id": table.column("doc_id"), "held_out": pa.array([not x for x in table.column("training").to_pylist()], pa.bool_()), "n_tokens": pa.array(cols[0], pa.int64()), "n_known": pa.array(cols[1], pa.int64()), "train_tokens": pa.array([n] * k, pa.int64()), "base_score": pa.array(cols[2], pa.float64()), "score": pa.array(cols[3], pa.float64())})
