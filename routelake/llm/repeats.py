@@ -14,11 +14,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, stored
+from .common import stored
 
 SIZE, GRAM = 400, 32
-#: Contexts that are ordered at a time, and the most that one gram's may be; grams with more take the exact window counts.
-BATCH, HOT = 20_000, 20_000
+#: Contexts that are ordered at a time, and the most that one gram's may be (about 2 kB of memory each); grams with more
+#: take the exact window counts.
+BATCH, HOT = 20_000, 60_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -147,7 +148,7 @@ def contexts(docs: DataFrame, text: str, reps: DataFrame, size: int) -> DataFram
     kind = docs.schema["doc_id"].dataType.simpleString()
     wanted = stored(reps.groupBy(F.col("doc_id").alias("want"), F.col("tkey").alias("want_key")).agg(F.collect_list(F.struct("h", "ctx", "pos")).alias("places")))
     rows = docs.select("doc_id", F.xxhash64(text).alias("tkey"), F.col(text).alias("text"))
-    joined = rows.join(small(wanted), rows.doc_id.eqNullSafe(F.col("want")) & (rows.tkey == F.col("want_key"))).select("doc_id", "text", "places")
+    joined = rows.join(wanted, rows.doc_id.eqNullSafe(F.col("want")) & (rows.tkey == F.col("want_key"))).select("doc_id", "text", "places")
 
     def run(batches):
         for batch in batches:
