@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Largest table, in rows, that an operator broadcasts after counting it (ids and hashes: 8 to 40 bytes a row).
-BROADCAST_ROWS = 4_000
+BROADCAST_ROWS = 200_000
 #: ASCII white space; words are what stands between.
 SPACE = r"\x20\x09-\x0D"
 

@@ -49,11 +49,29 @@ def probe_keys(line: Column, threshold: int) -> Column:
 
 
 def letters(s: Column) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: F.substring(s, i, 1))
+    return F.split(s, "")
+
+
+def agreeing(a: str, b: str, threshold: int) -> Column:
+    """False only if more edits than the threshold part the lines: of `pieces` pieces of a, all but that many stand in b, moved by that many places at most."""
+    pieces = 4 * (threshold + 1)
+    n = F.length(a)
+    found = F.lit(0)
+    for i in range(pieces):
+        place, size = segment(n, i, pieces)
+        piece = F.col(a).substr(place, size)
+        found = found + F.when(F.contains(F.col(b).substr(F.greatest(F.lit(1), place - threshold), size + 2 * threshold), piece), 1).otherwise(0)
+    return found >= pieces - threshold
 
 
 def distance(a: str, b: str, threshold: int) -> Column:
-    """Edit distance of columns a and b (arrays of characters, longer than the threshold, lengths at most the threshold apart); exact up to the threshold.
+    """Edit distance of the lines a and b, longer than the threshold and at most that apart in length; exact up to the threshold."""
+    # bound to a variable, or each step would split the lines again
+    return F.transform(F.array(F.struct(letters(F.col(a)).alias("s"), letters(F.col(b)).alias("t"))), lambda p: banded(p["s"], p["t"], threshold))[0]
+
+
+def banded(a: Column, b: Column, threshold: int) -> Column:
+    """The same of arrays of characters.
 
     A word of 2 * threshold + 2 bits holds the band of a column of the matrix; its highest bit is row j + threshold.
     The value is followed along the band's lower edge, then along the last row.
@@ -62,11 +80,11 @@ def distance(a: str, b: str, threshold: int) -> Column:
     ones, m = (1 << width) - 1, F.size(a)
 
     def step(acc, j):
-        c = F.get(F.col(b), j - 1)
+        c = F.get(b, j - 1)
         same = F.lit(0).cast("long")
         for k in range(2 * t + 1):
             row = j - t + k
-            same = same + F.when((row >= 1) & (F.get(F.col(a), row - 1) == c), F.lit(1 << (k + 1)).cast("long")).otherwise(F.lit(0).cast("long"))
+            same = same + F.when((row >= 1) & (F.get(a, row - 1) == c), F.lit(1 << (k + 1)).cast("long")).otherwise(F.lit(0).cast("long"))
         return F.struct(same.alias("x"), acc["vp"].alias("vp"), acc["vn"].alias("vn"), acc["d"].alias("d"), j.alias("j"))
 
     def carried(acc, j):
@@ -79,11 +97,11 @@ def distance(a: str, b: str, threshold: int) -> Column:
         def second(x):
             hp = x["vn"].bitwiseOR(F.lit(ones).bitwiseXOR(x["d0"].bitwiseOR(x["vp"])))
             hn = x["d0"].bitwiseAND(x["vp"])
-            down = F.shiftright("d0", 1) if False else F.shiftright(x["d0"], 1)
+            down = F.shiftright(x["d0"], 1)
             vp = hn.bitwiseOR(F.lit(ones).bitwiseXOR(down.bitwiseOR(hp)))
             vn = down.bitwiseAND(hp)
             over = x["j"] + t - m  # columns past the point where the band's edge meets the last row
-            bit = lambda v, k: F.expr("1") * F.when(F.call_function("shiftright", v, k).bitwiseAND(F.lit(1)) == 1, 1).otherwise(0)
+            bit = lambda v, k: F.when(F.call_function("shiftright", v, k).bitwiseAND(F.lit(1)) == 1, 1).otherwise(0)
             edge = F.when(x["d0"].bitwiseAND(F.lit(1 << (width - 1))) == 0, 1).otherwise(0)
             last = bit(hp, F.lit(width - 1) - over) - bit(hn, F.lit(width - 1) - over)
             return F.struct(vp.cast("long").alias("vp"), vn.cast("long").alias("vn"), (x["d"] + F.when(over <= 0, edge).otherwise(last)).cast("int").alias("d"))
@@ -98,7 +116,7 @@ def near_lines(docs: DataFrame, threshold: int = THRESHOLD, least: int = LEAST)
     """(distinct lines: key, doc_id and line_no of the first, n; links: a, b, distance between different lines)."""
     key = F.xxhash64("line")
     # a second hash keeps apart lines that agree in the first
-    rows = lines(docs).where(F.length("line") >= least).select(key.alias("key"), F.xxhash64(F.reverse("line")).alias("key2"), "doc_id", "line_no", "line")
+    rows = lines(docs).where(F.length("line") >= least).select(key.alias("key"), F.hash("line").alias("key2"), "doc_id", "line_no", "line")
     keyed = rows.select("key", "key2", F.struct("doc_id", "line_no").alias("at"), F.struct(index_keys(F.col("line"), threshold).alias("own"), probe_keys(F.col("line"), threshold).alias("probes")).alias("keys"))
     distinct = stored(keyed.groupBy("key", "key2").agg(F.min("at").alias("at"), F.count("*").alias("n"), F.first("keys").alias("keys")))
     index = distinct.select(F.col("key").alias("a"), F.explode("keys.own").alias("value"))
@@ -108,8 +126,9 @@ def near_lines(docs: DataFrame, threshold: int = THRESHOLD, least: int = LEAST)
     wanted = cut(met.select(F.col("a").alias("k")).union(met.select(F.col("b").alias("k"))).distinct().join(distinct.select(F.col("key").alias("k"), "at"), "k"))
     some = small(wanted)
     text = cut(rows.join(some, (rows.key == some.k) & rows.doc_id.eqNullSafe(some["at"]["doc_id"]) & (rows.line_no == some["at"]["line_no"])).select("key", "line").distinct())
-    both = met.join(text.select(F.col("key").alias("a"), letters(F.col("line")).alias("s")), "a").join(text.select(F.col("key").alias("b"), letters(F.col("line")).alias("t")), "b")
-    links = both.where(F.abs(F.size("s") - F.size("t")) <= threshold).withColumn("distance", distance("s", "t", threshold)).where(F.col("distance") <= threshold).select("a", "b", "distance")
+    both = met.join(text.select(F.col("key").alias("a"), F.col("line").alias("s")), "a").join(text.select(F.col("key").alias("b"), F.col("line").alias("t")), "b")
+    both = both.where((F.abs(F.length("s") - F.length("t")) <= threshold) & agreeing("s", "t", threshold))
+    links = both.withColumn("distance", distance("s", "t", threshold)).where(F.col("distance") <= threshold).select("a", "b", "distance")
     return distinct, stored(links)
 
 
