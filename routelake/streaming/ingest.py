@@ -108,8 +108,11 @@ class Store:
 
 
 def condensed(marks: DataFrame) -> DataFrame:
-    """Markers, and of the routes between two markers of a router and table only the first and the last of each family."""
-    scope = Window.partitionBy("router_id", "table_name").orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    """Markers, and of the routes between two markers of a router only the first and the last of each table and family.
+
+    A marker without a table counts for all tables, so the order is a router's; a micro-batch bounds what one has.
+    """
+    scope = Window.partitionBy("router_id").orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = marks.withColumn("_n", F.count_if(F.col("kind") != "route").over(scope))
     routes = rows.where("kind = 'route'").groupBy("router_id", "table_name", "afi", "_n").agg(F.min(F.struct("seq", "time")).alias("a"), F.max(F.struct("seq", "time")).alias("b"))
     both = routes.select("router_id", "table_name", "afi", F.explode(F.array_distinct(F.array("a", "b"))).alias("x")).select("router_id", "table_name", "afi", F.lit("route").alias("kind"), F.col("x.time").cast("timestamp").alias("time"), "x.seq")
