@@ -14,18 +14,23 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, map_text, small, stored
+from .common import components, cut, map_text, stored
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 9, 3
 #: Size of the table of document frequencies.
 DF_BITS = 18
+#: Samples of BANDS * ROWS in which two texts of a bucket agree before their texts are compared. Of texts at similarity
+#: 0.8 that share a band, 1 in 50,000 agree in fewer.
+AGREE = 14
+#: Members of a bucket in a block.
+BLOCK = 1500
 SALT = 64
 _HASH: dict[str, int] = {}
 
 
 def word_hashes(text: str) -> np.ndarray:
-    if len(_HASH) > 300_000:
+    if len(_HASH) > 100_000:
         _HASH.clear()
     out = []
     for w in text.lower().split():
@@ -149,12 +154,76 @@ def verify(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
     return joined.repartition("a", "salt").sortWithinPartitions("a", "salt", "kind").mapInArrow(run, "a binary, b binary, similarity double")
 
 
+def compared(members: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
+    """(a, b): links that join members of one bucket whose classes differ, enough of them to join all classes that links join.
+
+    Two members are compared in the first band where they meet, if AGREE of their samples are equal and their classes
+    have not met yet. A bucket of more than BLOCK members is dealt out by pairs of blocks, so a task holds two blocks.
+    """
+    import pyarrow as pa
+
+    parts = F.ceil(F.col("m") / BLOCK).cast("int")
+    rows = members.withColumn("own", F.pmod(F.xxhash64("key"), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    rows = rows.select("band", "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "key", "component", "samples", "total", "text")
+
+    def judge(group: list[tuple]) -> list[tuple[bytes, bytes]]:
+        band, low, high = group[0][0], group[0][2], group[0][3]
+        own, keys = np.array([r[4] for r in group]), [r[5] for r in group]
+        label = np.unique(np.array([r[6] for r in group], object), return_inverse=True)[1]
+        samples, total = np.array([r[7] for r in group], np.int64), np.array([r[8] for r in group])
+        read: dict[int, tuple] = {}
+
+        def of(i: int) -> tuple:
+            if i not in read:
+                read[i] = shingles(group[i][9] or "", idf)
+            return read[i]
+
+        out = []
+        for i in range(len(group) - 1):
+            rest = slice(i + 1, None)
+            able = (label[rest] != label[i]) & (np.minimum(total[rest], total[i]) >= least * 0.999 * np.maximum(total[rest], total[i]))
+            if low != high:
+                able &= own[rest] != own[i]
+            at = np.flatnonzero(able) + i + 1
+            if not len(at):
+                continue
+            same = samples[at] == samples[i]
+            count = same.sum(1)
+            first = same.reshape(-1, BANDS, ROWS).all(2).argmax(1)
+            good = (count >= AGREE) & (first == band)
+            for j in at[good][np.argsort(-count[good], kind="stable")]:
+                if label[j] != label[i] and similarity(of(i), of(j)) >= least:
+                    out.append((keys[i], keys[j]))
+                    label[label == label[j]] = label[i]
+        return out
+
+    def run(batches: Iterator) -> Iterator:
+        held: list[tuple] = []
+
+        def done() -> pa.RecordBatch:
+            made = judge(held)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in made], pa.binary()) for k in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = tuple(c[i].as_py() for c in batch.columns)
+                if held and held[-1][:4] != row[:4]:
+                    yield done()
+                held.append(row)
+        if held:
+            yield done()
+
+    by = ["band", "bucket", "low", "high"]
+    return rows.repartition(*by).sortWithinPartitions(*by, "key").mapInArrow(run, "a binary, b binary")
+
+
 def classes(docs: DataFrame, text: str = "text", least: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id (smallest doc_id of its class), class_size (rows), kept (doc_id = class_id) of every row.
 
     A class: texts that links of weighted Jaccard >= `least` join, and their exact copies. Texts that agree in a band
-    of samples are compared: first each with the smallest of its bucket; then, until nothing changes, those of a
-    bucket whose classes still differ and whose samples agree as such texts' would. Texts without words, and null,
+    of samples are compared: first each with the smallest of its bucket, then those of a bucket whose classes differ
+    and whose samples agree as such texts' would, until none is left. Texts without words, and null,
     have classes of their own: class_id is doc_id. Rows repeated with one doc_id come out as often; a null doc_id is
     never a class_id unless all of its class are null. An empty table gives none.
     """
@@ -177,30 +246,20 @@ def classes(docs: DataFrame, text: str = "text", least: float = SIMILARITY) -> D
     banded = distinct.select("key", F.posexplode(bands).alias("band", "bucket"))
     heads = banded.groupBy("band", "bucket").agg(F.min("key").alias("head"), F.count("*").alias("n")).where("n > 1").select("band", "bucket", "head")
     members = stored(banded.join(heads, ["band", "bucket"]))
+    # texts that share a bucket, once: the rounds read them from here
+    shared = members.select("key").distinct().join(distinct.select("key", "rep"), "key").withColumnRenamed("key", "k")
     texts = docs.select(F.col("doc_id").alias("id"), F.col(text).alias("text"), key.alias("key"))
-    links = None
+    texts = stored(texts.join(shared, (texts.key == shared.k) & texts.id.eqNullSafe(shared.rep)).select("key", "text"))
     pairs = members.where("key <> head").select(F.col("head").alias("a"), F.col("key").alias("b")).distinct()
-    label = tried = None
-    while True:
-        pairs = cut(pairs)
-        wanted = cut(pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct().join(distinct.select("key", "rep"), "key"))
-        some = small(wanted).withColumnRenamed("key", "k")
-        found = texts.join(some, (texts.key == some.k) & texts.id.eqNullSafe(some.rep)).select("key", "text")
-        new = cut(verify(pairs, found, idf).where(F.col("similarity") >= least).select("a", "b").distinct())
-        if label is not None and not new.limit(1).count():
-            break
-        links = new if links is None else cut(links.unionByName(new))
-        label = components(links)
-        # what is left: members of one bucket in different classes, whose samples agree often enough
-        marked = members.join(label, members.key == label.id, "left").select("band", "bucket", "key", F.coalesce("component", "key").alias("component"))
-        mixed_up = marked.groupBy("band", "bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("band", "bucket")
-        left = marked.join(mixed_up, ["band", "bucket"]).join(distinct.select("key", "samples", "total"), "key")
-        l, r = left.alias("l"), left.alias("r")
-        agree = F.aggregate(F.zip_with("l.samples", "r.samples", lambda x, y: (x == y).cast("int")), F.lit(0), lambda acc, x: acc + x)
-        close = (F.col("l.key") < F.col("r.key")) & (F.col("l.component") != F.col("r.component")) & (F.least("l.total", "r.total") >= F.lit(least * 0.999) * F.greatest("l.total", "r.total")) & (agree * 2 >= BANDS * ROWS)
-        again = l.join(r, (F.col("l.band") == F.col("r.band")) & (F.col("l.bucket") == F.col("r.bucket")) & close).select(F.col("l.key").alias("a"), F.col("r.key").alias("b")).distinct()
-        tried = pairs if tried is None else cut(tried.unionByName(pairs))
-        pairs = again.join(tried, ["a", "b"], "left_anti")
+    links = stored(verify(pairs, texts, idf).where(F.col("similarity") >= least).select("a", "b").distinct())
+    label = components(links)
+    # what is left: buckets whose members are of more than one class
+    marked = members.drop("head").join(label, members.key == label.id, "left").select("band", "bucket", "key", F.coalesce("component", "key").alias("component"))
+    mixed_up = marked.groupBy("band", "bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m")).where("x <> y").select("band", "bucket", "m")
+    left = marked.join(mixed_up, ["band", "bucket"]).join(distinct.select("key", "samples", "total"), "key").join(texts, "key")
+    more = stored(compared(left, idf, least).distinct())
+    if more.limit(1).count():
+        label = components(links.unionByName(more))
     joined = distinct.join(label, distinct.key == label.id, "left").select("key", "rep", "copies", F.coalesce("component", "key").alias("component"))
     per = joined.groupBy("component").agg(F.min("rep").alias("class_id"), F.sum("copies").alias("class_size"))
     of_key = cut(joined.select("key", "component").join(per, "component").select(F.col("key").alias("k"), "class_id", "class_size"))
