@@ -14,56 +14,69 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-BLOCK, GROUP = 8192, 512
+#: Candidates of a block (about 2.5 kB of memory each at 64 components), queries of a group.
+BLOCK, GROUP = 32768, 1024
 #: Fractions of the largest contribution down to which segments are processed before each look at the bounds.
-STEPS = (0.6, 0.4, 0.28, 0.2, 0.14, 0.1, 0.07, 0.05, 0.03, 0.015, 0.0)
+STEPS = (0.15, 0.1, 0.07, 0.045, 0.02, 0.0)
+#: Widest range of values for which the number of postings at each impact is kept in a table.
+LEVELS = 4096
 
 
 class ImpactIndex:
-    def __init__(self, ids: np.ndarray, matrix: np.ndarray):
-        self.ids, self.matrix = ids, matrix
-        self.order = np.argsort(matrix, axis=0, kind="stable").T.copy()
-        self.values = np.take_along_axis(matrix, self.order.T, axis=0).T.copy()
+    """Postings of a block: for each sign of a query's weight and each dimension, places by descending impact."""
 
-    def top(self, query: np.ndarray, own: int, k: int, floor: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) that hold the k best of the block but `own`; those surely under `floor` may be missing."""
+    def __init__(self, ids: np.ndarray, matrix: np.ndarray):
+        n, width = matrix.shape
+        self.ids, self.exact = ids, matrix.astype(np.int64)
+        # products of components under 2^20 are exact in doubles, which add up faster
+        self.matrix = matrix.astype(np.float64) if np.abs(matrix).max(initial=0) < 1 << 20 else self.exact
+        # small numbers are sorted by digits
+        keys = matrix.T.astype(np.int16 if np.abs(matrix).max(initial=0) < 1 << 15 else np.int64)
+        order = np.argsort(np.ascontiguousarray(keys), axis=1, kind="stable")
+        values = np.take_along_axis(matrix.T, order, axis=1)
+        self.low, self.high = values[:, 0].astype(np.float64), values[:, -1].astype(np.float64)
+        self.order = {True: order[:, ::-1].copy(), False: order.copy()}
+        self.impact = {True: values[:, ::-1] - self.low[:, None], False: self.high[:, None] - values}
+        levels = int((self.high - self.low).max(initial=0)) + 2
+        self.at_least = {up: np.stack([n - np.searchsorted(x[::-1], np.arange(levels)) for x in self.impact[up]]) for up in (True, False)} if levels <= LEVELS else None
+
+    def processed(self, dims: np.ndarray, up: np.ndarray, need: np.ndarray) -> np.ndarray:
+        """Postings of each dimension with an impact of `need` or more."""
+        if self.at_least is None:
+            return np.array([len(self.ids) - np.searchsorted(self.impact[bool(u)][d][::-1], x) for d, u, x in zip(dims, up, need, strict=True)], np.int64)
+        at = np.minimum(need, self.at_least[True].shape[1] - 1).astype(np.int64)
+        return np.where(up, self.at_least[True][dims, at], self.at_least[False][dims, at])
+
+    def top(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, scores) that hold the k best of the block but `own`."""
         n, dims = len(self.ids), np.flatnonzero(query)
         alive = self.ids != own
-        weight = np.abs(query[dims])
-        up = query[dims] > 0
-        # impact i has the value low + i for a positive weight, high - i for a negative one
-        worst = np.where(up, self.values[dims, 0], self.values[dims, -1])
-        most = weight * (self.values[dims, -1] - self.values[dims, 0])
-        base, done = int((query[dims] * worst).sum()), np.zeros(len(dims), np.int64)
-        total, seen = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        maybe = np.flatnonzero(alive)
-        if len(maybe) > 4 * k and len(dims):
+        maybe, asked = np.flatnonzero(alive), query.astype(self.matrix.dtype)
+        if len(maybe) > 8 * k and len(dims) and self.matrix is not self.exact:
+            weight, up = np.abs(asked[dims]), query[dims] > 0
+            most = weight * (self.high[dims] - self.low[dims])
+            base = float((asked[dims] * np.where(up, self.low[dims], self.high[dims])).sum())
+            done, least = np.zeros(len(dims), np.int64), -np.inf
+            # contributions and, in the low digits, the number of postings
+            total, unit = np.zeros(n), float(1 << len(dims).bit_length())
             for step in STEPS:
-                bound = max(1, int(most.max() * step))  # unprocessed postings contribute less than this
-                at, what = [], []
-                for j, d in enumerate(dims):
-                    need = -(-bound // weight[j])
-                    if up[j]:
-                        stop = n - int(np.searchsorted(self.values[d], worst[j] + need, "left"))
-                        part = slice(n - stop, n - done[j])
-                        what.append((self.values[d, part] - worst[j]) * weight[j])
-                    else:
-                        stop = int(np.searchsorted(self.values[d], worst[j] - need, "right"))
-                        part = slice(done[j], stop)
-                        what.append((worst[j] - self.values[d, part]) * weight[j])
-                    at.append(self.order[d, part])
-                    done[j] = stop
-                at = np.concatenate(at)
-                total += np.bincount(at, np.concatenate(what), n).astype(np.int64)
-                seen += np.bincount(at, minlength=n)
-                upper = total + int(np.minimum(most, bound - 1).sum()) - seen * np.int64(bound - 1)
-                least = np.partition(total[alive], -k)[-k] + base
-                least = max(least, floor) if floor is not None else least
-                maybe = np.flatnonzero(alive & (upper + base >= least))
-                if len(maybe) <= 4 * k or bound == 1:
+                bound = max(1.0, float(int(most.max() * step)))  # unprocessed postings contribute less than this
+                stop = np.maximum(done, self.processed(dims, up, np.ceil(bound / weight)))
+                for j in np.flatnonzero(stop > done):
+                    d, u, part = dims[j], bool(up[j]), slice(done[j], stop[j])
+                    np.add.at(total, self.order[u][d, part], self.impact[u][d, part] * (weight[j] * unit) + 1.0)
+                done = stop
+                sure = np.floor(total / unit)
+                seen = total - sure * unit
+                sure += base
+                # exact scores of the leaders give a floor under the k-th best
+                lead = np.argpartition(np.where(alive, sure + seen * bound, -np.inf), -2 * k)[-2 * k :]
+                least = max(least, np.partition(self.matrix[lead[alive[lead]]] @ asked, -k)[-k])
+                upper = sure + float(np.minimum(most, bound - 1).sum()) - seen * (bound - 1)
+                maybe = np.flatnonzero(alive & (upper >= least))
+                if len(maybe) <= max(4 * k, n // 4) or bound == 1:
                     break
-        score = self.matrix[maybe] @ query
-        return self.ids[maybe], score
+        return self.ids[maybe], (self.matrix[maybe] @ asked).astype(np.int64)
 
 
 def best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
