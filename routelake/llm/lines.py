@@ -27,25 +27,53 @@ def segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
     return base * i + long_before + 1, base + F.when(F.lit(i) >= parts - rest, 1).otherwise(0)
 
 
-def segment_key(line: Column, i: int, length: Column, place: Column, size: Column) -> Column:
-    return F.hash(F.lit(i), length, line.substr(place, size))
+def probe_keys(line: Column, threshold: int) -> list[tuple[bool, Column]]:
+    """(own, hash) of the substrings that may equal a segment: edits before and after it bound how far it can have moved.
 
-
-def index_keys(line: Column, threshold: int) -> Column:
-    n = F.length(line)
-    return F.array(*(segment_key(line, i, n, *segment(n, i, threshold + 1)) for i in range(threshold + 1)))
-
-
-def probe_keys(line: Column, threshold: int) -> Column:
-    """Substrings that may equal a segment: edits before and after it bound how far it can have moved."""
+    own marks the line's own segments, which are also what the index holds of it.
+    """
     n, out = F.length(line), []
     for shorter in range(threshold + 1):
         m = (n - shorter).cast("int")
         for i in range(threshold + 1):
             place, size = segment(m, i, threshold + 1)
             after = threshold - i
-            out += [segment_key(line, i, m, place + shift, size) for shift in range(max(-i, shorter - after), min(i, shorter + after) + 1)]
-    return F.array(*out)
+            out += [(shorter == shift == 0, F.xxhash64(F.lit(i), m, line.substr(place + shift, size))) for shift in range(max(-i, shorter - after), min(i, shorter + after) + 1)]
+    return out
+
+
+def place_of(doc_id: str = "doc_id", line_no: str = "line_no") -> Column:
+    """One number that orders lines by doc_id, null first, then line_no; unlike a struct, hash aggregation takes it."""
+    null = F.lit(str(-(1 << 63) - 1)).cast("decimal(20,0)")
+    return (F.coalesce(F.col(doc_id).cast("decimal(20,0)"), null) * F.lit(1 << 31).cast("decimal(10,0)") + F.col(line_no)).cast("decimal(31,0)")
+
+
+def pair_bits(line: Column) -> Column:
+    """128 bits in two longs: the parity of how often the pairs of adjacent characters that hash to each bit occur. An edit flips 4 at most."""
+    none = F.lit(0).cast("long")
+
+    def step(acc, c):
+        h = F.hash(acc["last"], c)
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)))
+        low = h.bitwiseAND(F.lit(64)) == 0
+        return F.struct(c.alias("last"), acc["lo"].bitwiseXOR(F.when(low, bit).otherwise(none)).alias("lo"), acc["hi"].bitwiseXOR(F.when(low, none).otherwise(bit)).alias("hi"))
+
+    return F.aggregate(letters(line), F.struct(F.lit("").alias("last"), none.alias("lo"), none.alias("hi")), step)
+
+
+def common(a: str, b: str, last: bool, most: Column) -> Column:
+    """Length, `most` at the most, of what a and b share at their beginning (or end): longer and longer steps would overrun, so from the largest down."""
+    steps = F.array(*(F.lit(1 << k) for k in range(20, -1, -1)))
+    start = lambda p, k: -(p + k) if last else p + 1
+    return F.aggregate(steps, F.lit(0), lambda p, k: F.when((p + k <= most) & (F.col(a).substr(start(p, k), k) == F.col(b).substr(start(p, k), k)), p + k).otherwise(p))
+
+
+def stripped(pairs: DataFrame, a: str, b: str, threshold: int) -> DataFrame:
+    """a and b without what they share at both ends, but for threshold + 1 characters there: their distance stays."""
+    out = pairs.withColumn("head", common(a, b, False, F.least(F.length(a), F.length(b))))
+    out = out.withColumn("tail", common(a, b, True, F.least(F.length(a), F.length(b)) - F.col("head")))
+    out = out.withColumns({"head": F.greatest(F.col("head") - threshold - 1, F.lit(0)), "tail": F.greatest(F.col("tail") - threshold - 1, F.lit(0))})
+    return out.withColumns({x: F.col(x).substr(F.col("head") + 1, F.length(x) - F.col("head") - F.col("tail")) for x in (a, b)}).drop("head", "tail")
 
 
 def letters(s: Column) -> Column:
@@ -113,23 +141,39 @@ def banded(a: Column, b: Column, threshold: int) -> Column:
 
 
 def near_lines(docs: DataFrame, threshold: int = THRESHOLD, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
-    """(distinct lines: key, doc_id and line_no of the first, n; links: a, b, distance between different lines)."""
-    key = F.xxhash64("line")
+    """(distinct lines: key, at (place_of the first), n; links: a, b, distance between different lines).
+
+    A segment that one line alone has in the index gives pairs at once. What probes a segment of several lines is kept
+    as (segment, line), a row for each probe; their pairs are then made where pair_bits() differ in no more bits than
+    the threshold allows, so that a segment which many lines share doesn't give all its pairs.
+    """
     # a second hash keeps apart lines that agree in the first
-    rows = lines(docs).where(F.length("line") >= least).select(key.alias("key"), F.hash("line").alias("key2"), "doc_id", "line_no", "line")
-    keyed = rows.select("key", "key2", F.struct("doc_id", "line_no").alias("at"), F.struct(index_keys(F.col("line"), threshold).alias("own"), probe_keys(F.col("line"), threshold).alias("probes")).alias("keys"))
-    distinct = stored(keyed.groupBy("key", "key2").agg(F.min("at").alias("at"), F.count("*").alias("n"), F.first("keys").alias("keys")))
-    index = distinct.select(F.col("key").alias("a"), F.explode("keys.own").alias("value"))
-    probes = distinct.select(F.col("key").alias("b"), F.explode("keys.probes").alias("value"))
-    met = index.join(probes, "value").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    met = cut(met.distinct())
-    wanted = cut(met.select(F.col("a").alias("k")).union(met.select(F.col("b").alias("k"))).distinct().join(distinct.select(F.col("key").alias("k"), "at"), "k"))
+    rows = lines(docs).where(F.length("line") >= least).select(F.xxhash64("line").alias("key"), F.hash("line").alias("key2"), place_of().alias("at"), "line")
+    made = probe_keys(F.col("line"), threshold)
+    names = [f"k{i}" for i in range(len(made))]
+    keyed = rows.select("key", "key2", "at", *(h.alias(k) for k, (_, h) in zip(names, made, strict=True)))
+    # numbers only, so that equal lines are added up by hash before the shuffle
+    distinct = stored(keyed.groupBy("key", "key2").agg(F.min("at").alias("at"), F.count("*").alias("n"), *(F.max(k).alias(k) for k in names)))
+    own = [k for k, (x, _) in zip(names, made, strict=True) if x]
+    index = distinct.select(F.col("key").alias("a"), F.explode(F.array(*own)).alias("value")).groupBy("value").agg(F.min("a").alias("a"), F.count("*").alias("held"))
+    probes = distinct.select(F.col("key").alias("b"), F.explode(F.array(*(F.struct(F.col(k).alias("value"), F.lit(x).alias("own")) for k, (x, _) in zip(names, made, strict=True)))).alias("p")).select("b", "p.*")
+    met = cut(probes.join(index, "value").where("held > 1 or a <> b"))
+    shared = met.where("held > 1").select("value", "b", "own")
+    alone = met.where("held = 1").select("a", "b")
+    wanted = cut(met.select(F.col("b").alias("k"), F.col("held") > 1).union(alone.select("a", F.lit(False))).toDF("k", "shared").groupBy("k").agg(F.max("shared").alias("shared")).join(distinct.select(F.col("key").alias("k"), "at"), "k"))
     some = small(wanted)
-    text = cut(rows.join(some, (rows.key == some.k) & rows.doc_id.eqNullSafe(some["at"]["doc_id"]) & (rows.line_no == some["at"]["line_no"])).select("key", "line").distinct())
-    both = met.join(text.select(F.col("key").alias("a"), F.col("line").alias("s")), "a").join(text.select(F.col("key").alias("b"), F.col("line").alias("t")), "b")
-    both = both.where((F.abs(F.length("s") - F.length("t")) <= threshold) & agreeing("s", "t", threshold))
-    links = both.withColumn("distance", distance("s", "t", threshold)).where(F.col("distance") <= threshold).select("a", "b", "distance")
-    return distinct, stored(links)
+    bits = F.when(F.col("shared"), pair_bits(F.col("line")))
+    text = cut(rows.join(some, (rows.key == some.k) & (rows.at == some["at"])).select("key", "line", "shared").dropDuplicates(["key", "line"]).withColumn("bits", bits).select("key", "line", "bits.lo", "bits.hi"))
+    marked = shared.join(text.select(F.col("key").alias("b"), "lo", "hi"), "b")
+    members = marked.where("own").select("value", F.col("b").alias("a"), F.col("lo").alias("lo_a"), F.col("hi").alias("hi_a"))
+    flips = F.bit_count(F.col("lo").bitwiseXOR(F.col("lo_a"))) + F.bit_count(F.col("hi").bitwiseXOR(F.col("hi_a")))
+    like = members.join(marked.drop("own"), "value").where((F.col("a") != F.col("b")) & (flips <= 4 * threshold)).select("a", "b")
+    pairs = cut(alone.union(like).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    both = pairs.join(text.select(F.col("key").alias("a"), F.col("line").alias("s")), "a").join(text.select(F.col("key").alias("b"), F.col("line").alias("t")), "b")
+    both = stripped(both.where((F.abs(F.length("s") - F.length("t")) <= threshold) & agreeing("s", "t", threshold)), "s", "t", threshold)
+    # generated, not filtered: a filter would be moved below and work out the distance a second time
+    near = F.filter(F.array(distance("s", "t", threshold)), lambda d: d <= threshold)
+    return distinct.select("key", "at", "n"), stored(both.select("a", "b", F.explode(near).alias("distance")))
 
 
 def removed_lines(docs: DataFrame, threshold: int = THRESHOLD, least: int = LEAST) -> DataFrame:
@@ -144,7 +188,7 @@ def removed_lines(docs: DataFrame, threshold: int = THRESHOLD, least: int = LEAS
     # only lines that occur again, or come later than one like them, have something to remove
     acts = distinct.join(later, "key", "left").where("n > 1 or later").select("key", F.when(F.col("later"), None).otherwise(F.col("at")).alias("kept_at"))
     found = lines(docs).where(F.length("line") >= least).select(F.xxhash64("line").alias("key"), "doc_id", "line_no")
-    return found.join(acts, "key").where(F.col("kept_at").isNull() | ~F.struct("doc_id", "line_no").eqNullSafe(F.col("kept_at"))).select("doc_id", "line_no")
+    return found.join(acts, "key").where(F.col("kept_at").isNull() | (place_of() != F.col("kept_at"))).select("doc_id", "line_no")
 
 
 def dedup(docs: DataFrame, keep: list[str], threshold: int = THRESHOLD, least: int = LEAST) -> DataFrame:

@@ -147,6 +147,43 @@ def test_banded_distance_is_exact_up_to_the_threshold(spark):
             assert (r.d == edits(r.a, r.b)) if edits(r.a, r.b) <= t else r.d > t, (t, r)
 
 
+def test_stripping_keeps_distances_and_bits_bound_them(spark):
+    rng, pairs = np.random.default_rng(3), []
+    for _ in range(300):
+        a = list(rng.choice(list("abcdé "), rng.integers(30, 60)))
+        b = a.copy()
+        for _ in range(rng.integers(0, 4)):
+            k, what = rng.integers(0, len(b)), rng.integers(0, 3)
+            b[k : k + (what != 1)] = [] if what == 2 else [str(rng.choice(list("abcdé ")))]
+        if abs(len(a) - len(b)) <= 2:
+            pairs.append(("".join(a), "".join(b)))
+    df = spark.createDataFrame(pairs, "s string, t string").withColumns({"a": F.col("s"), "b": F.col("t"), "x": lines.pair_bits(F.col("s")), "y": lines.pair_bits(F.col("t"))})
+    flips = F.bit_count(F.col("x.lo").bitwiseXOR(F.col("y.lo"))) + F.bit_count(F.col("x.hi").bitwiseXOR(F.col("y.hi")))
+    for r in lines.stripped(df, "s", "t", 2).withColumns({"d": lines.distance("s", "t", 2), "flips": flips}).collect():
+        d = edits(r.a, r.b)
+        assert r.d == d if d <= 2 else r.d > 2, r
+        assert edits(r.s, r.t) == d and min(len(r.s), len(r.t)) > 2 and r.flips <= 4 * d
+
+
+def test_lines_that_share_a_segment_lose_no_link(spark):
+    """A few hundred lines with words replaced at two places share every segment; each pair within two edits is found, once."""
+    rng = np.random.default_rng(4)
+    words = ["alpha", "bravo", "charlie", "delta", "echo", "foxtrot", "golf", "hotel", "india", "juliet", "kilo", "lima"]
+    made = set()
+    while len(made) < 300:
+        own = words.copy()
+        for k in rng.integers(0, len(words), 2):
+            own[k] = "".join(rng.choice(list("xy"), rng.integers(3, 5)))
+        made.add(" ".join(own))
+    texts = sorted(made)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    distinct, links = lines.near_lines(docs)
+    at = {r.key: int(r.at) >> 31 for r in distinct.collect()}
+    got = [(*sorted((at[r.a], at[r.b])), r.distance) for r in links.collect()]
+    want = {(i, j, d) for (i, a), (j, b) in combinations(enumerate(texts), 2) if abs(len(a) - len(b)) <= 2 and (d := edits(a, b)) <= 2}
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 20
+
+
 def test_line_dedup_equals_brute_force(docs, rows, empty):
     seen, firsts = [], {}
     for i, t in sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
