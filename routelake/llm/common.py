@@ -90,8 +90,19 @@ def slices(texts: list[str | None], most: int = 4_000_000) -> Iterator[tuple[int
             start, total = i + 1, 0
 
 
-def map_text(df: DataFrame, f: Callable[[list[str]], dict[str, list]], keep: list[str], text: str, schema: str) -> DataFrame:
-    """df.mapInArrow: columns `keep` and what f makes of a run of whole texts, by column name."""
+def release() -> None:
+    """Gives memory that a task has freed back to the system: Python workers wait for the next task beside the executor's heap."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # not in every C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def map_text(df: DataFrame, f: Callable[[list[str]], dict[str, list]], keep: list[str], text: str, schema: str, after: Callable[[], None] = release) -> DataFrame:
+    """df.mapInArrow: columns `keep` and what f makes of a run of whole texts, by column name. `after` is called at a task's end."""
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -110,5 +121,6 @@ def map_text(df: DataFrame, f: Callable[[list[str]], dict[str, list]], keep: lis
                 for at, part in slices(rows):
                     made = f(part)
                     yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(k)).slice(first + at, len(part)) for k in keep), *(pa.array(made[x.name], x.type) for x in list(arrow)[len(keep) :])], schema=arrow)
+        after()
 
     return df.select(*dict.fromkeys([*keep, text])).mapInArrow(run, out)

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, map_text, stored
+from .common import components, cut, map_text, release, stored
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 9, 3
@@ -29,6 +29,12 @@ SALT = 64
 _HASH: dict[str, int] = {}
 
 
+def forget() -> None:
+    """At a task's end: what words were hashed to goes."""
+    _HASH.clear()
+    release()
+
+
 def word_hashes(text: str) -> np.ndarray:
     if len(_HASH) > 100_000:
         _HASH.clear()
@@ -110,6 +116,7 @@ def frequencies(docs: DataFrame, text: str) -> tuple[np.ndarray, int]:
                         total[np.unique((word_hashes(t) & np.uint64((1 << DF_BITS) - 1)).astype(np.int64))] += 1
         if n:
             yield pa.RecordBatch.from_arrays([pa.array([*range(parts), -1], pa.int32()), pa.array([*(x.tobytes() for x in total.reshape(parts, width)), np.int64(n).tobytes()], pa.binary())], names=["part", "n"])
+        forget()
 
     got = {r.part: np.frombuffer(r.n, np.int64) for r in docs.select(text).mapInArrow(count, "part int, n binary").groupBy("part").applyInArrow(_summed, "part int, n binary").collect()}
     table = np.concatenate([got[k] for k in range(parts)]) if got else np.zeros(1 << DF_BITS, np.int64)
@@ -150,6 +157,7 @@ def verify(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
                     made.append((a, b, similarity(hub, shingles(batch.column(4)[i].as_py() or "", idf))))
             cols = list(zip(*made, strict=True)) or [[], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.float64())], names=["a", "b", "similarity"])
+        forget()
 
     return joined.repartition("a", "salt").sortWithinPartitions("a", "salt", "kind").mapInArrow(run, "a binary, b binary, similarity double")
 
@@ -213,6 +221,7 @@ def compared(members: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
                 held.append(row)
         if held:
             yield done()
+        forget()
 
     by = ["band", "bucket", "low", "high"]
     return rows.repartition(*by).sortWithinPartitions(*by, "key").mapInArrow(run, "a binary, b binary")
@@ -240,7 +249,7 @@ def classes(docs: DataFrame, text: str = "text", least: float = SIMILARITY) -> D
         return {"samples": out, "total": [float(p[1].sum()) for p in parts]}
 
     key = F.unhex(F.md5(F.col(text).cast("binary")))
-    rows = stored(map_text(docs.select("doc_id", F.col(text).alias("text"), key.alias("key")), run, ["doc_id", "key"], "text", "samples array<bigint>, total double"))
+    rows = stored(map_text(docs.select("doc_id", F.col(text).alias("text"), key.alias("key")), run, ["doc_id", "key"], "text", "samples array<bigint>, total double", forget))
     distinct = stored(rows.where("samples is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("samples").alias("samples"), F.first("total").alias("total"), F.count("*").alias("copies")))
     bands = F.array(*(F.xxhash64(F.lit(i), *(F.col("samples")[i * ROWS + j] for j in range(ROWS))) for i in range(BANDS)))
     banded = distinct.select("key", F.posexplode(bands).alias("band", "bucket"))

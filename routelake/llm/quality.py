@@ -14,13 +14,19 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_text
+from .common import map_text, release
 
 WORD = re.compile(r"\w+")
 UPPER, MARKS, DIGITS = bytes(range(65, 91)), b"!|#<>{}[]@$%^&*=~", b"0123456789"
 _INDEX: dict[str, int] = {}
 
 
+def forget() -> None:
+    """At a task's end: what words were hashed to goes."""
+    _INDEX.clear()
+    release()
+
+
 def features(text: str, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Indices and values of a whole text: log(1 + count) of hashed words and their beginnings, and a few shape features.
 
@@ -101,7 +107,7 @@ def train(docs: DataFrame, graded: DataFrame, grades: int, bits: int = 18, most:
     sample = graded.where(F.col("doc_id").isNotNull() & F.col("grade").between(0, grades - 1)).select("doc_id", F.col("grade").cast("int").alias("grade"))
     sample = sample.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id", "grade").limit(most)
     joined = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    rows = map_text(joined, lambda texts: pack(texts, bits), ["doc_id", "grade"], "text", "at binary, value binary").collect()
+    rows = map_text(joined, lambda texts: pack(texts, bits), ["doc_id", "grade"], "text", "at binary, value binary", forget).collect()
     rows.sort(key=lambda r: (r.doc_id, r.grade, bytes(r.at)))
     return fit([(r.grade, np.frombuffer(r.at, "<i4"), np.frombuffer(r.value, "<f4")) for r in rows], grades, bits, **options)
 
@@ -115,7 +121,7 @@ def grade(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], keep: list[str]
         tail = 1 / (1 + np.exp(-np.clip(s[:, None] - t, -30, 30)))
         return {"expected_grade": tail.sum(1), "p_tail": tail[:, -1]}
 
-    return map_text(docs, run, keep, "text", "expected_grade double, p_tail double")
+    return map_text(docs, run, keep, "text", "expected_grade double, p_tail double", forget)
 
 
 def graded_labels(labels: DataFrame) -> DataFrame:
