@@ -20,7 +20,7 @@ def select_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that an earlier one covers; a document that loses all its words goes. n_chars is the new length."""
-    made = lines.dedup(docs, ["doc_id", "lang", "source", "n_chars"])
+    made = lines.dedup(docs, ["doc_id", "lang", "source", "n_chars"], short=True)
     changed = F.col("n_removed") > 0
     return made.where(~changed | F.col("text").rlike(r"[^\x20\x09-\x0D]")).withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(COLUMNS)
 

@@ -140,23 +140,27 @@ def banded(a: Column, b: Column, threshold: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.size(b)), start, carried)["d"]
 
 
-def near_lines(docs: DataFrame, threshold: int = THRESHOLD, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
+def near_lines(docs: DataFrame, threshold: int = THRESHOLD, least: int = LEAST, short: bool = False) -> tuple[DataFrame, DataFrame]:
     """(distinct lines: key, at (place_of the first), n; links: a, b, distance between different lines).
 
     A segment that one line alone has in the index gives pairs at once. What probes a segment of several lines is kept
     as (segment, line), a row for each probe; their pairs are then made where pair_bits() differ in no more bits than
-    the threshold allows, so that a segment which many lines share doesn't give all its pairs.
+    the threshold allows, so that a segment which many lines share doesn't give all its pairs. With `short`, lines under
+    `least` characters are among the distinct ones, without probes and links.
     """
-    # a second hash keeps apart lines that agree in the first
-    rows = lines(docs).where(F.length("line") >= least).select(F.xxhash64("line").alias("key"), F.hash("line").alias("key2"), place_of().alias("at"), "line")
+    # a second hash keeps apart lines that agree in the first; its lowest bit says if the line is long enough for links
+    key2 = F.hash("line").bitwiseAND(F.lit(-2)).bitwiseOR((F.length("line") >= least).cast("int"))
+    rows = lines(docs).where(F.length("line") >= (1 if short else least)).select(F.xxhash64("line").alias("key"), key2.alias("key2"), place_of().alias("at"), "line")
     made = probe_keys(F.col("line"), threshold)
     names = [f"k{i}" for i in range(len(made))]
+    # short lines have keys too, not used: conditions around them would keep Spark from sharing what the keys have in common
     keyed = rows.select("key", "key2", "at", *(h.alias(k) for k, (_, h) in zip(names, made, strict=True)))
     # numbers only, so that equal lines are added up by hash before the shuffle
     distinct = stored(keyed.groupBy("key", "key2").agg(F.min("at").alias("at"), F.count("*").alias("n"), *(F.max(k).alias(k) for k in names)))
     own = [k for k, (x, _) in zip(names, made, strict=True) if x]
-    index = distinct.select(F.col("key").alias("a"), F.explode(F.array(*own)).alias("value")).groupBy("value").agg(F.min("a").alias("a"), F.count("*").alias("held"))
-    probes = distinct.select(F.col("key").alias("b"), F.explode(F.array(*(F.struct(F.col(k).alias("value"), F.lit(x).alias("own")) for k, (x, _) in zip(names, made, strict=True)))).alias("p")).select("b", "p.*")
+    probing = distinct.where(F.col("key2").bitwiseAND(F.lit(1)) == 1)
+    index = probing.select(F.col("key").alias("a"), F.explode(F.array(*own)).alias("value")).groupBy("value").agg(F.min("a").alias("a"), F.count("*").alias("held"))
+    probes = probing.select(F.col("key").alias("b"), F.explode(F.array(*(F.struct(F.col(k).alias("value"), F.lit(x).alias("own")) for k, (x, _) in zip(names, made, strict=True)))).alias("p")).select("b", "p.*")
     met = cut(probes.join(index, "value").where("held > 1 or a <> b"))
     shared = met.where("held > 1").select("value", "b", "own")
     alone = met.where("held = 1").select("a", "b")
@@ -176,29 +180,30 @@ def near_lines(docs: DataFrame, threshold: int = THRESHOLD, least: int = LEAST)
     return distinct.select("key", "at", "n"), stored(both.select("a", "b", F.explode(near).alias("distance")))
 
 
-def removed_lines(docs: DataFrame, threshold: int = THRESHOLD, least: int = LEAST) -> DataFrame:
+def removed_lines(docs: DataFrame, threshold: int = THRESHOLD, least: int = LEAST, short: bool = False) -> DataFrame:
     """doc_id, line_no of every line to remove: of `least` characters or more, and equal to or within `threshold` edits of one that comes first.
 
-    Lines come by doc_id, then line_no, null ids first; each is judged on the input, whatever goes elsewhere.
+    With `short`, also of every shorter line, but for blank ones, that is equal to one that comes first. Lines come by
+    doc_id, then line_no, null ids first; each is judged on the input, whatever goes elsewhere.
     """
-    distinct, links = near_lines(docs, threshold, least)
+    distinct, links = near_lines(docs, threshold, least, short)
     at = distinct.select("key", "at")
     ends = links.join(at.select(F.col("key").alias("a"), F.col("at").alias("at_a")), "a").join(at.select(F.col("key").alias("b"), F.col("at").alias("at_b")), "b")
     later = ends.select(F.when(F.col("at_a") > F.col("at_b"), F.col("a")).otherwise(F.col("b")).alias("key")).distinct().withColumn("later", F.lit(True))
     # only lines that occur again, or come later than one like them, have something to remove
     acts = distinct.join(later, "key", "left").where("n > 1 or later").select("key", F.when(F.col("later"), None).otherwise(F.col("at")).alias("kept_at"))
-    found = lines(docs).where(F.length("line") >= least).select(F.xxhash64("line").alias("key"), "doc_id", "line_no")
+    found = lines(docs).where(F.length("line") >= (1 if short else least)).select(F.xxhash64("line").alias("key"), "doc_id", "line_no")
     return found.join(acts, "key").where(F.col("kept_at").isNull() | (place_of() != F.col("kept_at"))).select("doc_id", "line_no")
 
 
-def dedup(docs: DataFrame, keep: list[str], threshold: int = THRESHOLD, least: int = LEAST) -> DataFrame:
+def dedup(docs: DataFrame, keep: list[str], threshold: int = THRESHOLD, least: int = LEAST, short: bool = False) -> DataFrame:
     """Columns `keep`, text without the removed lines, n_lines, n_removed of every row.
 
-    Lines are split at line feeds and compared without white space around. Null text stays null, without lines; short
-    and blank lines stay. Rows that repeat a doc_id count as one document: what goes from one goes from all, by line
-    number. An empty table gives none.
+    Lines are split at line feeds and compared without white space around. Null text stays null, without lines; blank
+    lines stay, and unless `short` is set all lines under `least` characters. Rows that repeat a doc_id count as one
+    document: what goes from one goes from all, by line number. An empty table gives none.
     """
-    gone = removed_lines(docs, threshold, least).distinct().groupBy("doc_id").agg(F.collect_list("line_no").alias("gone"))
+    gone = removed_lines(docs, threshold, least, short).distinct().groupBy("doc_id").agg(F.collect_list("line_no").alias("gone"))
     rows = docs.select(*dict.fromkeys([*keep, "text"]))
     joined = rows.join(gone.withColumnRenamed("doc_id", "gone_id"), F.col("doc_id").eqNullSafe(F.col("gone_id")), "left")
     split = F.split("text", "\n", -1)

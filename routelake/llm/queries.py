@@ -46,7 +46,7 @@ def op4_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .lines import dedup
 
-    return dedup(table(spark, sf_dir, "documents"), ["doc_id"]).select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+    return dedup(table(spark, sf_dir, "documents"), ["doc_id"], short=True).select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

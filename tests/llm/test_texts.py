@@ -212,6 +212,24 @@ def test_line_dedup_equals_brute_force(docs, rows, empty):
     assert lines.dedup(empty, ["doc_id"]).count() == 0
 
 
+def test_short_lines_that_are_equal_go(spark, tmp_path):
+    """The query removes every line that comes again, of any length; short ones that only resemble an earlier one stay."""
+    texts = ["All rights reserved.\n\nab\n \n", "ab\n\n All rights reserved. \nAll rights reserve.\n}", None, "}\nb\na\n}", "ac\nb"]
+    data = [(None, "a\nnot here"), *enumerate(texts)]
+    spark.createDataFrame([(i, t, "en", None, None) for i, t in data], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    seen, want = set(), {}
+    for i, t in data:
+        kept = []
+        for x in (t or "").split("\n"):
+            if not x.strip() or x.strip() not in seen:
+                kept.append(x)
+            seen.add(x.strip())
+        n = len((t or "").split("\n")) if t is not None else 0
+        want[i] = (n, n - len(kept) if n else 0, hashlib.sha256("\n".join(kept).encode()).hexdigest())
+    assert {r.doc_id: tuple(r)[1:] for r in queries.op5_line_dedup(spark, str(tmp_path)).collect()} == want
+    assert sum(v[1] for v in want.values()) == 6
+
+
 def test_mix(docs, rows, empty):
     got = mixing.mix(docs).toPandas()
     assert len(got) == len(rows)
