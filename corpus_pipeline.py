@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from routelake.llm import bpe, lines, mixing, near, quality
+from routelake.llm.common import cut, small
 from routelake.llm.queries import table, tokenizer
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -26,15 +27,18 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class, that of the smallest doc_id."""
-    kept = near.classes(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").select(COLUMNS)
+    """One row of each class, of the smallest doc_id."""
+    return near.kept_rows(docs, COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    reps = mixing.mix(docs).select(F.col("doc_id").alias("id"), F.col("reps").cast("int").alias("reps")).where("reps > 0")
-    return docs.join(reps, F.col("doc_id").eqNullSafe(F.col("id"))).withColumn("copy", F.explode(F.sequence(F.lit(1), "reps"))).select(COLUMNS)
+    """Each row as often as the mix takes it. Rows equal in all columns are joined as one, with the sum of what each is taken."""
+    rest = F.to_json(F.struct(*(c for c in COLUMNS if c != "text"), F.col("text").isNull().alias("none")))
+    keyed = docs.withColumn("row", F.unhex(F.md5(F.concat(rest, F.coalesce("text", F.lit(""))).cast("binary"))))
+    reps = cut(mixing.mix(keyed, ties=("row",)).groupBy(F.col("row").alias("r")).agg(F.sum("reps").cast("int").alias("reps"), F.count("*").alias("n")).where("reps > 0"))
+    joined = lambda some: keyed.join(some, F.col("row") == F.col("r")).select(*COLUMNS, "reps")
+    rows = joined(reps.where("n = 1")).unionByName(joined(small(reps.where("n > 1"))).distinct())
+    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), "reps"))).select(COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

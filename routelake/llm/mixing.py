@@ -42,12 +42,13 @@ def water_fill(sources: DataFrame, total: int, epochs: int = 3) -> DataFrame:
     return sources.withColumn("target", F.when(capped, F.col("cap").cast("double")).otherwise(F.col("weight") * F.lit(level)))
 
 
-def repetitions(sized: DataFrame, targets: DataFrame, key: list[str], seed: int = 11) -> DataFrame:
+def repetitions(sized: DataFrame, targets: DataFrame, key: list[str], seed: int = 11, ties: tuple[str, ...] = ()) -> DataFrame:
     """Adds whole (every document of the source), extra (0 or 1: chosen by the seeded order) and reps = whole + extra.
 
     `sized` has `key` columns, source and size; `targets` (one row a source) source, source_size and target.
     Documents are taken in seeded order until the fraction of the source is reached, to the nearest document. Sums of
-    ranges of that order are formed first, so only the range where the quota ends is sorted by document.
+    ranges of that order are formed first, so only the range where the quota ends is sorted by document. Columns `ties`
+    order rows that agree in key and size.
     """
     hashed = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), *(F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in key)).cast("binary")), 1, 15), 16, 10).cast("long")
     rows = sized.withColumn("u", hashed).withColumn("bucket", F.shiftright("u", 60 - BUCKET_BITS).cast("int"))
@@ -59,22 +60,22 @@ def repetitions(sized: DataFrame, targets: DataFrame, key: list[str], seed: int
     marks = sums.join(plan, sums.source.eqNullSafe(plan.s)).select(F.col("source").alias("s"), F.col("bucket").alias("b"), "before", "source_size", "target", "whole", "quota", (F.col("before") + F.col("bucket_size") <= F.col("quota")).alias("all_in"), (F.col("before") >= F.col("quota")).alias("none_in"))
     joined = rows.join(marks, rows.source.eqNullSafe(marks.s) & (rows.bucket == marks.b)).drop("s", "b")
     clear = joined.where("all_in or none_in").withColumn("extra", F.when(F.col("all_in"), 1).otherwise(0))
-    edge = Window.partitionBy("source", "bucket").orderBy("u", *key, "size").rowsBetween(Window.unboundedPreceding, -1)
+    edge = Window.partitionBy("source", "bucket").orderBy("u", *key, "size", *ties).rowsBetween(Window.unboundedPreceding, -1)
     split = joined.where("not (all_in or none_in)").withColumn("so_far", F.col("before") + F.coalesce(F.sum("size").over(edge), F.lit(0)))
     split = split.withColumn("extra", F.when(F.col("so_far") + F.col("size") / 2 <= F.col("quota"), 1).otherwise(0)).drop("so_far")
     out = clear.unionByName(split).withColumn("reps", F.col("whole") + F.col("extra"))
     return out.select(*sized.columns, "source_size", "target", "whole", "extra", "reps")
 
 
-def mix(docs: DataFrame, epochs: int = 3, seed: int = 11, weights=ranked_weights) -> DataFrame:
+def mix(docs: DataFrame, epochs: int = 3, seed: int = 11, weights=ranked_weights, ties: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, source, size, source_size, target, whole, extra, reps, taken of every row of `docs`.
 
     The mix has as many words as all documents; sources share it by weight, none over `epochs` times its size.
     Null text: size 0. Null source: a source of its own. Null ids and repeated rows: each row counts and is mixed by
-    itself. A source without words has target 0. An empty table gives no rows. The same rows give the same mix.
+    itself. A source without words has target 0. An empty table gives no rows. The same rows give the same mix. Columns `ties` are kept and order rows of one id.
     """
-    sized = cut(sizes(docs))
+    sized = cut(sizes(docs, ["doc_id", "source", *ties]))
     per = cut(weights(sized.groupBy("source").agg(F.sum("size").alias("source_size"))))
     total = per.agg(F.sum("source_size")).first()[0] or 0
-    out = repetitions(sized, cut(water_fill(per, total, epochs)), ["doc_id"], seed)
+    out = repetitions(sized, cut(water_fill(per, total, epochs)), ["doc_id"], seed, ties)
     return out.withColumn("taken", F.col("size") * F.col("reps"))

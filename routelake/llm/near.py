@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, map_text, release, stored
+from .common import components, cut, map_text, release, small, stored
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 9, 3
@@ -227,15 +227,8 @@ def compared(members: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
     return rows.repartition(*by).sortWithinPartitions(*by, "key").mapInArrow(run, "a binary, b binary")
 
 
-def classes(docs: DataFrame, text: str = "text", least: float = SIMILARITY) -> DataFrame:
-    """doc_id, class_id (smallest doc_id of its class), class_size (rows), kept (doc_id = class_id) of every row.
-
-    A class: texts that links of weighted Jaccard >= `least` join, and their exact copies. Texts that agree in a band
-    of samples are compared: first each with the smallest of its bucket, then those of a bucket whose classes differ
-    and whose samples agree as such texts' would, until none is left. Texts without words, and null,
-    have classes of their own: class_id is doc_id. Rows repeated with one doc_id come out as often; a null doc_id is
-    never a class_id unless all of its class are null. An empty table gives none.
-    """
+def joined_texts(docs: DataFrame, text: str = "text", least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, key of the text, samples of every row; key, rep: smallest doc_id, copies, component of every text with words)."""
     table, n = frequencies(docs, text)
     idf = (np.log((n + 1) / (table + 1)) + 1).astype(np.float32)
 
@@ -269,9 +262,36 @@ def classes(docs: DataFrame, text: str = "text", least: float = SIMILARITY) -> D
     more = stored(compared(left, idf, least).distinct())
     if more.limit(1).count():
         label = components(links.unionByName(more))
-    joined = distinct.join(label, distinct.key == label.id, "left").select("key", "rep", "copies", F.coalesce("component", "key").alias("component"))
+    return rows, distinct.join(label, distinct.key == label.id, "left").select("key", "rep", "copies", F.coalesce("component", "key").alias("component"))
+
+def classes(docs: DataFrame, text: str = "text", least: float = SIMILARITY) -> DataFrame:
+    """doc_id, class_id (smallest doc_id of its class), class_size (rows), kept (doc_id = class_id) of every row.
+
+    A class: texts that links of weighted Jaccard >= `least` join, and their exact copies. Texts that agree in a band
+    of samples are compared: first each with the smallest of its bucket, then those of a bucket whose classes differ
+    and whose samples agree as such texts' would, until none is left. Texts without words, and null,
+    have classes of their own: class_id is doc_id. Rows repeated with one doc_id come out as often; a null doc_id is
+    never a class_id unless all of its class are null. An empty table gives none.
+    """
+    rows, joined = joined_texts(docs, text, least)
     per = joined.groupBy("component").agg(F.min("rep").alias("class_id"), F.sum("copies").alias("class_size"))
     of_key = cut(joined.select("key", "component").join(per, "component").select(F.col("key").alias("k"), "class_id", "class_size"))
     out = rows.select("doc_id", "key", F.col("samples").isNotNull().alias("some")).join(of_key, F.col("key") == F.col("k"), "left")
     alone = ~F.col("some")
     return out.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.when(alone, F.lit(1)).otherwise(F.col("class_size")).cast("long").alias("class_size"), (alone | F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("kept"))
+
+
+def kept_rows(docs: DataFrame, keep: list[str], text: str = "text", least: float = SIMILARITY) -> DataFrame:
+    """Columns `keep` of one row of each class, by row: of its smallest doc_id, then of its first text by hash, then the
+    least by `keep`. Rows whose text is null or without words have classes of their own and stay.
+    """
+    rows, joined = joined_texts(docs, text, least)
+    chosen = joined.groupBy("component").agg(F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "key")).alias("c")).select(F.col("c.key").alias("k"), F.col("c.rep").alias("rep"))
+    found = rows.groupBy("doc_id", "key").agg(F.count("samples").alias("n"))
+    found = found.join(chosen, F.col("key").eqNullSafe(F.col("k")) & F.col("doc_id").eqNullSafe(F.col("rep")), "left").where("n = 0 or k is not null")
+    found = cut(found.select(F.col("doc_id").alias("id"), F.col("key").alias("k"), "n"))
+    keyed = docs.withColumn("key", F.unhex(F.md5(F.col(text).cast("binary"))))
+    same = F.col("key").eqNullSafe(F.col("k")) & F.col("doc_id").eqNullSafe(F.col("id"))
+    once = keyed.join(found.where("n <= 1"), same, "left_semi").select(keep)
+    repeated = keyed.join(small(found.where("n > 1")), same, "left_semi").groupBy("doc_id", "key").agg(F.min(F.struct(*keep)).alias("r")).select("r.*")
+    return once.unionByName(repeated)

@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 
 import corpus_pipeline as P
-from routelake.llm import queries
+from routelake.llm import mixing, queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -45,3 +45,24 @@ def test_run_gives_the_stages_rows(spark):
         docs = stage(spark, docs, SF)
     key = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     assert sorted(map(tuple, P.run(spark, SF).select(key).collect())) == sorted(map(tuple, docs.select(key).collect()))
+
+
+def test_rows_that_share_an_id_are_kept_and_mixed_by_themselves(spark):
+    """Rows repeated under one id, null ids, one id with different texts."""
+    prose = [" ".join(f"w{k}x{i}" for i in range(60)) for k in range(6)]
+    data = [(1, prose[0], "en", "a", 1)] * 3 + [(1, prose[1], "en", "a", 1), (None, prose[2], "en", "b", 1), (None, prose[3], "en", "b", 1), (None, prose[3], "de", "b", 1), (2, prose[4], "en", "b", 1), (3, prose[4], "en", "a", 1), (None, prose[4], "en", "a", 1), (4, " ", "en", "c", 1), (4, " ", "en", "c", 1), (5, None, None, None, None)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+    apart = P.drop_near_copies(spark, docs, SF)
+    want = [data[0], data[3], data[4], (None, prose[3], "de", "b", 1), data[7], *data[10:]]
+    assert Counter(map(tuple, apart.collect())) == Counter(want)
+    for rows in (docs, apart):
+        before = Counter(map(tuple, rows.collect()))
+        taken = Counter()
+        for r in mixing.mix(rows).collect():
+            taken[r.doc_id, r.source] += r.reps
+        mixed = Counter(map(tuple, P.mix_sources(spark, rows, SF).collect()))
+        by_id = Counter()
+        for r, n in mixed.items():
+            assert n <= 3 * before[r]
+            by_id[r[0], r[3]] += n
+        assert +by_id == +taken and by_id
