@@ -20,9 +20,6 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 9, 3
 #: Size of the table of document frequencies.
 DF_BITS = 18
-#: Samples of BANDS * ROWS in which two texts of a bucket agree before their texts are compared. Of texts at similarity
-#: 0.8 that share a band, 1 in 50,000 agree in fewer.
-AGREE = 14
 #: Members of a bucket in a block.
 BLOCK = 1500
 SALT = 64
@@ -165,8 +162,8 @@ def verify(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
 def compared(members: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
     """(a, b): links that join members of one bucket whose classes differ, enough of them to join all classes that links join.
 
-    Two members are compared in the first band where they meet, if AGREE of their samples are equal and their classes
-    have not met yet. A bucket of more than BLOCK members is dealt out by pairs of blocks, so a task holds two blocks.
+    Two members are compared in the first band where they meet, unless their total weights are too far apart or their
+    classes have met by then; those with the most equal samples first. A bucket of more than BLOCK members is dealt out by pairs of blocks, so a task holds two blocks.
     """
     import pyarrow as pa
 
@@ -198,7 +195,7 @@ def compared(members: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
             same = samples[at] == samples[i]
             count = same.sum(1)
             first = same.reshape(-1, BANDS, ROWS).all(2).argmax(1)
-            good = (count >= AGREE) & (first == band)
+            good = first == band
             for j in at[good][np.argsort(-count[good], kind="stable")]:
                 if label[j] != label[i] and similarity(of(i), of(j)) >= least:
                     out.append((keys[i], keys[j]))
@@ -269,7 +266,7 @@ def classes(docs: DataFrame, text: str = "text", least: float = SIMILARITY) -> D
 
     A class: texts that links of weighted Jaccard >= `least` join, and their exact copies. Texts that agree in a band
     of samples are compared: first each with the smallest of its bucket, then those of a bucket whose classes differ
-    and whose samples agree as such texts' would, until none is left. Texts without words, and null,
+    and whose total weights allow a link, until none is left. Texts without words, and null,
     have classes of their own: class_id is doc_id. Rows repeated with one doc_id come out as often; a null doc_id is
     never a class_id unless all of its class are null. An empty table gives none.
     """

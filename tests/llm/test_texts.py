@@ -300,6 +300,14 @@ def test_near_dedup_equals_brute_force(docs, rows, empty):
     assert near.classes(empty).count() == 0
 
 
+def test_texts_of_a_bucket_are_compared_however_few_samples_agree(spark):
+    words = [f"w{i}" for i in range(200)]
+    texts, n = [" ".join(words), " ".join(words[:-2])], near.BANDS * near.ROWS
+    rows = [(0, 7, bytes([i]), bytes([i]), 2, [0] * near.ROWS + [i + 1] * (n - near.ROWS), float(len(t.split()) - 4), t) for i, t in enumerate(texts)]
+    members = spark.createDataFrame(rows, "band int, bucket long, key binary, component binary, m long, samples array<bigint>, total double, text string")
+    assert len(near.compared(members, np.ones(1 << near.DF_BITS, np.float32), 0.8).collect()) == 1
+
+
 def test_consistent_weighted_sampling_estimates_similarity():
     rng = np.random.default_rng(3)
     keys = rng.integers(0, 2**63, 400).astype(np.uint64)
