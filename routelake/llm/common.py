@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import atexit
 import contextlib
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -18,42 +18,50 @@ SPACE = r"\x20\x09-\x0D"
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; a folder of our own only where the setting is unset."""
+    """The shared folder that the cluster names. Where the setting is unset, a folder of our own, on a local master only: executors elsewhere wouldn't see it."""
     sc = spark.sparkContext
     if not (found := sc.getCheckpointDir()):
         if not (found := spark.conf.get("spark.checkpoint.dir", None)):
+            if not re.match(r"local(\[|$)", sc.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             found = tempfile.mkdtemp(prefix="routelake-checkpoint-")
         sc.setCheckpointDir(found)
+        leave(spark, sc.getCheckpointDir())
     return found
 
 
+def leave(spark: SparkSession, path: str) -> None:
+    """The folder goes when the driver's JVM ends, if `discard` hasn't deleted it before."""
+    files, at = _files(spark, path)
+    files.deleteOnExit(at)
+
+
+def _files(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """df with its rows written to the shared folder and its lineage cut; files go when df does."""
+    """df with its rows written to the shared folder and its lineage cut. The files go when the driver's JVM ends, or with df where the cluster cleans checkpoints."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """df written once as Parquet to the shared folder and read again; the folder goes when the session's process ends."""
+    """df written once as Parquet to the shared folder and read again; the folder goes with `discard`, or when the driver's JVM ends."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/routelake-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _WRITTEN.append(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-_WRITTEN: list[str] = []
+    leave(spark, path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
 
 
-@atexit.register
-def _clean() -> None:
-    spark = SparkSession.getActiveSession()
-    if spark is not None and _WRITTEN:
-        with contextlib.suppress(Exception):  # the session may be gone
-            jvm = spark.sparkContext._jvm
-            for path in _WRITTEN:
-                at = jvm.org.apache.hadoop.fs.Path(path)
-                at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+def discard(df: DataFrame) -> None:
+    """Deletes what `stored` wrote, once nothing will read it again."""
+    files, at = _files(df.sparkSession, df._stored_at)
+    files.delete(at, True)
 
 
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:

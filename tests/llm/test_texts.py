@@ -318,24 +318,97 @@ def test_consistent_weighted_sampling_estimates_similarity():
     assert agree == pytest.approx(near.similarity(a, b), abs=0.03)
 
 
+def plain_passages(data: list[bytes], size: int, words: int) -> list[int]:
+    """Of each text, the runs of `words` words or more that strings cover which another row holds."""
+    held: dict[bytes, set[int]] = {}
+    own: list[list[tuple[int, int]]] = []
+    for i, d in enumerate(data):
+        at = [(m.start(), m.end()) for m in re.finditer(rb"[^\x00-\x20]+", d)]
+        spans = [(a[0], b[1]) for a, b in zip(at, at[words - 1 :], strict=False) if b[1] - a[0] <= size]
+        own.append(spans + [(k, k + size) for k in range(len(d) - size + 1)])
+        for a, b in spans:
+            held.setdefault(b" " + d[a:b], set()).add(i)  # words count only whole
+        for k in range(len(d) - size + 1):
+            held.setdefault(d[k : k + size], set()).add(i)
+    out = []
+    for i, d in enumerate(data):
+        runs: list[list[int]] = []
+        for a, b in sorted((a, b) for a, b in own[i] if len(held.get(b" " + d[a:b], ())) > 1 or (b - a == size and len(held[d[a:b]]) > 1)):
+            if runs and a <= runs[-1][1]:
+                runs[-1][1] = max(runs[-1][1], b)
+            else:
+                runs.append([a, b])
+        out.append(sum(len(re.findall(rb"[^\x00-\x20]+", d[a:b])) >= words for a, b in runs))
+    return out
+
+
 @pytest.mark.parametrize("hot", [repeats.HOT, 1])
 def test_repeats_equal_brute_force(docs, rows, empty, hot):
-    size = 200
+    size, words = 200, 20
     data = [(i, (t or "").encode()) for i, t in rows]
+    passages = plain_passages([d for _, d in data], size, words)
     counts = Counter(d[k : k + size] for _, d in data for k in range(len(d) - size + 1))
     want = Counter()
-    for i, d in data:
+    for (i, d), told in zip(data, passages, strict=True):
         mark = bytearray(len(d))
         for k in range(len(d) - size + 1):
             if counts[d[k : k + size]] > 1:
                 mark[k : k + size] = b"\1" * size
         spans = len(re.findall(b"\1+", bytes(mark)))
-        want[i, len(d), sum(mark), spans, hashlib.sha256(bytes(x for x, m in zip(d, mark, strict=True) if not m)).hexdigest()] += 1
-    got = Counter(tuple(r) for r in repeats.digests(repeats.repeats(docs, size=size, hot=hot)).collect())
-    assert got == want and sum(v for k, v in want.items() if 0 < k[2] < k[1])
+        want[i, len(d), sum(mark), spans, hashlib.sha256(bytes(x for x, m in zip(d, mark, strict=True) if not m)).hexdigest(), told] += 1
+    got = Counter(tuple(r) for r in repeats.digests(repeats.repeats(docs, size=size, hot=hot, words=words)).collect())
+    assert got == want and sum(v for k, v in want.items() if 0 < k[2] < k[1]) and any(k[-1] and not k[2] for k in want)
     assert repeats.repeats(empty).count() == 0
 
 
+def test_passages_of_shared_words_are_told(spark):
+    """Random prose with shared parts below and above the sizes; parts in the middle of words, copies, periods, long words."""
+    rng = np.random.default_rng(5)
+    vocabulary = ["".join(rng.choice(list("abcdefg"), rng.integers(1, 9))) for _ in range(400)]
+    prose = lambda n: " ".join(rng.choice(vocabulary, n))
+    shared, texts = [prose(int(rng.integers(10, 60))) for _ in range(12)], []
+    for _ in range(120):
+        parts = [prose(int(rng.integers(5, 60)))]
+        for _ in range(int(rng.integers(0, 4))):
+            parts += [shared[rng.integers(0, 12)], prose(int(rng.integers(0, 50)))]
+        texts.append((" " if rng.random() < 0.5 else "\n").join(parts))
+    texts += ["z" * 900, texts[3], texts[3], texts[4][:150], "", "a b", "la " * 400, "q" + shared[0] + "q " + prose(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for size, words, hot in ((120, 12, repeats.HOT), (120, 12, 1), (60, 30, 5)):
+        got = {r.doc_id: len(r.passages) for r in repeats.repeats(docs, size=size, words=words, hot=hot).collect()}
+        assert [got[i] for i in range(len(texts))] == plain_passages([t.encode() for t in texts], size, words)
+
+
+def test_repeats_of_400_bytes_equal_brute_force(spark):
+    """The query on the whole of sf0.01; what covers over 50 words is told wherever bytes go from a document that shares them."""
+    data = [(r.doc_id, (r.text or "").encode()) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    counts = Counter(hash(d[k : k + 400]) for _, d in data for k in range(len(d) - 399))
+    want = {}
+    for (i, d), told in zip(data, plain_passages([d for _, d in data], 400, 51), strict=True):
+        mark = bytearray(len(d))
+        for k in range(len(d) - 399):
+            if counts[hash(d[k : k + 400])] > 1:
+                mark[k : k + 400] = b"\1" * 400
+        want[i] = (len(d), sum(mark), len(re.findall(b"\1+", bytes(mark))), hashlib.sha256(bytes(x for x, m in zip(d, mark, strict=True) if not m)).hexdigest(), told)
+    got = queries.op8_repeats(spark, "/root/testdata/sf0.01")
+    assert {r.doc_id: tuple(r)[1:] for r in got.collect()} == want
+
+
+def test_previous_factors():
+    """Jumps over greater places against plain loops."""
+    rng = np.random.default_rng(6)
+    for _ in range(200):
+        n = int(rng.integers(1, 40))
+        place, lcp = rng.permutation(n), np.r_[-1, rng.integers(-1, 9, n - 1)]
+        length, source = repeats.previous_factors(lcp, place, 3)
+        for k in range(n):
+            best = max((min(lcp[min(j, k) + 1 : max(j, k) + 1]) for j in range(n) if place[j] < place[k]), default=0)
+            assert length[k] == (best if best >= 3 else 0)
+            if best >= 3:
+                j = source[k]
+                assert place[j] < place[k] and min(lcp[min(j, k) + 1 : max(j, k) + 1]) == best
+
+
 @pytest.mark.parametrize("hot", [repeats.HOT, 1])
 def test_repeats_keep_the_first(spark, hot):
     rng = np.random.default_rng(4)
