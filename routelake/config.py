@@ -18,6 +18,7 @@ class Service:
     http_listen: str = ":8080"
     log_level: str = "info"
     shutdown_timeout_seconds: int = 30
+    per_router_metrics: bool = True
 
 
 @dataclass

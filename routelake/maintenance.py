@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import re
+import time
 from collections.abc import Callable
+from threading import Event, Thread
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,23 +55,61 @@ def refresh(spark: SparkSession, path: str, routes: DataFrame | None, adj: DataF
     for name, source, view in (("route_summary", routes, views.route_summary), ("adj_rib_in_summary", adj, views.adj_rib_in_summary)):
         if source is not None:
             made = view(source)
-            table = Versioned(spark, f"{path}/{name}", made.schema.simpleString()[7:-1].replace(":", " "))
+            table = Versioned(spark, f"{path}/{name}", made.schema)
             table.write(made, table.version() + 1)
 
 
+def compact(table: Daily, timezone: str = "UTC", now: dt.datetime | None = None) -> list[str]:
+    """Days before today whose batches were put together."""
+    return [d for d in table.days() if DAY.fullmatch(d) and dt.date.fromisoformat(d) < today(timezone, now) and table.compact(d)]
+
+
 def run(spark: SparkSession, store, keep: int, timezone: str = "UTC", now: dt.datetime | None = None) -> list[str]:
     gone = drop_expired(store.history, keep, timezone, now)
+    compact(store.history, timezone, now)
     refresh(spark, store.path, store.current.read().drop("seq"), store.peers.read().drop("seq"))
     return gone
 
 
-def migrate(spark: SparkSession, path: str, steps: dict[int, Callable[[SparkSession], None]]) -> list[int]:
-    """Applies steps by number, each once; the number is kept beside the tables after the step. Not for two at a time: a step's mark is made anew only if it isn't there."""
-    files = Files(spark, path)
-    done = {int(n) for n in files.names(f"{path}/schema_migrations") if n.isdigit()}
-    made = []
-    for number in sorted(set(steps) - done):
-        steps[number](spark)
-        files.touch(f"{path}/schema_migrations/{number}")
-        made.append(number)
+def until_midnight(timezone: str, now: dt.datetime | None = None) -> float:
+    """Seconds to the next local day."""
+    here = (now or dt.datetime.now(dt.UTC)).astimezone(ZoneInfo(timezone))
+    return (dt.datetime.combine(here.date() + dt.timedelta(days=1), dt.time(), here.tzinfo) - here).total_seconds()
+
+
+def daily(work: Callable[[], object], timezone: str, stop: Event) -> Thread:
+    """A thread that works once a local day, from the next midnight on, until `stop` is set; one that fails is tried again the next day."""
+
+    def loop() -> None:
+        while not stop.wait(max(1.0, until_midnight(timezone))):
+            try:
+                work()
+            except Exception:
+                logging.getLogger(__name__).exception("daily upkeep failed")
+
+    thread = Thread(target=loop, daemon=True)
+    thread.start()
+    return thread
+
+
+def migrate(spark: SparkSession, path: str, steps: dict[int, Callable[[SparkSession], None]], wait: float = 60.0) -> list[int]:
+    """Applies steps by number, each once; the number is kept beside the tables after the step.
+
+    A lock file keeps two from migrating at a time; one that is held longer than `wait` seconds is an error. After a
+    crash, the file schema_migrations/lock must be deleted by hand.
+    """
+    files, made, lock = Files(spark, path), [], f"{path}/schema_migrations/lock"
+    end = time.monotonic() + wait
+    while not files.claim(lock):
+        if time.monotonic() >= end:
+            raise TimeoutError(f"{lock} is held")
+        time.sleep(0.5)
+    try:
+        done = {int(n) for n in files.names(f"{path}/schema_migrations") if n.isdigit()}
+        for number in sorted(set(steps) - done):
+            steps[number](spark)
+            files.touch(f"{path}/schema_migrations/{number}")
+            made.append(number)
+    finally:
+        files.delete(lock)
     return made

@@ -13,7 +13,8 @@ from ..schemas import DECODED
 def decode(frames: DataFrame, keep: list[str], value: str = "value", **options) -> DataFrame:
     """Columns `keep` of `frames` and DECODED, one row for each event; what can't be read gives a row of kind error.
 
-    One map, no shuffle; a frame's events come in its order by (msg_index, event_index). `options`: see wire.rows.
+    One map, no shuffle; a frame's events come in its order by (msg_index, event_index). `options`: see wire.rows; with
+    ids=False event_id and bmp_raw are null and nothing is hashed.
     """
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -43,21 +44,34 @@ def nonempty(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
-def identified(events: DataFrame, order: list[str]) -> DataFrame:
+def loc_router() -> Column:
+    """The router of a Loc-RIB event: the per-peer header's, unless it is none, :: or 0.0.0.0; then the wrapper's address."""
+    own = F.when(F.col("header_router").isin("::", "0.0.0.0"), None).otherwise(F.col("header_router"))
+    return F.coalesce(own, "frame_ip", "header_router")
+
+
+def identities(ups: DataFrame, order: list[str]) -> DataFrame:
+    """(router_hash, router, since, until): what a router is called from one Peer Up on until one that names it otherwise. Only Peer Ups are sorted."""
+    named = ups.where("kind = 'peer_up' and not is_loc_rib and router_hash is not null").select("router_hash", F.struct(*order).alias("since"), F.coalesce("local_bgp_id", "frame_ip").alias("router")).where("router is not null")
+    by = Window.partitionBy("router_hash").orderBy("since")
+    return named.withColumn("old", F.lag("router").over(by)).where("old is null or old <> router").withColumn("until", F.lead("since").over(by)).drop("old")
+
+
+def identified(events: DataFrame, order: list[str], ups: DataFrame | None = None) -> DataFrame:
     """Adds router_id.
 
-    Loc-RIB: the per-peer header's, unless it is none, :: or 0.0.0.0; then the wrapper's address. Else: the BGP
-    identifier of the last Peer Up before, of the same router hash; else the wrapper's address. `order`: columns that
-    put all events in order. Rows without a hash take no window, so they can't gather in one task.
+    Loc-RIB: see loc_router(). Else: the BGP identifier of the last Peer Up before, of the same router hash; else the
+    wrapper's address. `order`: columns that put all events in order. `ups`: the Peer Ups among the events, where they
+    are at hand; else they are filtered from the events, which are then read twice. Events aren't sorted: they meet the
+    few changes of names by hash, and rows without a lookup are spread over keys that nothing has.
     """
-    own = F.when(F.col("header_router").isin("::", "0.0.0.0"), None).otherwise(F.col("header_router"))
-    up = F.when((F.col("kind") == "peer_up") & ~F.col("is_loc_rib"), F.coalesce("local_bgp_id", "frame_ip"))
-    before = Window.partitionBy("router_hash").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    windowed = ~F.col("is_loc_rib") & F.col("router_hash").isNotNull()
-    loc = events.where(F.coalesce(F.col("is_loc_rib"), F.lit(False))).withColumn("router_id", F.coalesce(own, "frame_ip", "header_router"))
-    hashed = events.where(windowed).withColumn("router_id", F.coalesce(F.last(up, ignorenulls=True).over(before), "frame_ip"))
-    rest = events.where(~F.coalesce(F.col("is_loc_rib"), F.lit(False)) & ~F.coalesce(windowed, F.lit(False))).withColumn("router_id", F.coalesce(up, "frame_ip"))
-    return loc.unionByName(hashed).unionByName(rest)
+    spans = identities(events if ups is None else ups, order).select(F.col("router_hash").alias("_hash"), "router", "since", "until")
+    looked_up = ~F.col("is_loc_rib") & F.col("router_hash").isNotNull()
+    rows = events.withColumn("_key", F.when(looked_up, F.col("router_hash")).otherwise(F.concat(F.lit("\0"), F.pmod(F.xxhash64(*order), F.lit(4096)).cast("string"))))
+    at = F.struct(*(F.col(c) for c in order))
+    joined = rows.join(spans, (F.col("_key") == F.col("_hash")) & (at >= F.col("since")) & (F.col("until").isNull() | (at < F.col("until"))), "left")
+    alone = F.when((F.col("kind") == "peer_up") & F.col("router_hash").isNull(), F.col("local_bgp_id"))
+    return joined.withColumn("router_id", F.when(F.col("is_loc_rib"), loc_router()).otherwise(F.coalesce("router", alone, "frame_ip"))).drop("_key", "_hash", "router", "since", "until")
 
 
 def routed(events: DataFrame) -> DataFrame:

@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..schemas import ADJ_KEY, ATTRIBUTES, LOC_KEY, PEER_FACTS
 
-PURGES = "array<struct<at:bigint,below:bigint>>"
+PURGES = "array<struct<at:bigint,below:bigint,eor:boolean>>"
 
 
 def families(ups: DataFrame) -> DataFrame:
@@ -59,7 +59,7 @@ def adj_purges(events: DataFrame) -> list[tuple[DataFrame, list[str]]]:
 def with_purges(routes: DataFrame, purges: Sequence[tuple[DataFrame, list[str]]]) -> DataFrame:
     found = []
     for i, (rows, scope) in enumerate(purges):
-        per = rows.groupBy(*(F.col(c).alias(f"_{c}") for c in scope)).agg(F.collect_list(F.struct(F.col("at").cast("bigint").alias("at"), F.col("below").cast("bigint").alias("below"))).alias(f"purges_{i}"))
+        per = rows.groupBy(*(F.col(c).alias(f"_{c}") for c in scope)).agg(F.collect_list(F.struct(F.col("at").cast("bigint").alias("at"), F.col("below").cast("bigint").alias("below"), F.lit(i == 0).alias("eor"))).alias(f"purges_{i}"))
         match = F.lit(True)
         for c in scope:
             match = match & F.col(c).eqNullSafe(F.col(f"_{c}"))
@@ -73,8 +73,11 @@ def purged(after: Column, before: Column | None = None) -> Column:
     return F.exists("purges", lambda p: (p["below"] > after) & (p["at"] < before if before is not None else F.lit(True)))
 
 
-def live(routes: DataFrame, key: list[str], purges: Sequence[tuple[DataFrame, list[str]]], facts: list[str]) -> DataFrame:
-    """key, facts, first_seen, updated_at, seq of live routes. `routes`: of kind route; first_seen (may be null) overrides a run's start."""
+def live(routes: DataFrame, key: list[str], purges: Sequence[tuple[DataFrame, list[str]]], facts: list[str], seen: Observation | None = None) -> DataFrame:
+    """key, facts, first_seen, updated_at, seq of live routes. `routes`: of kind route; first_seen (may be null) overrides a run's start.
+
+    The first of `purges` are those of End-of-RIBs. `seen` gets eor_stale and session_down: how many routes they removed.
+    """
     if "first_seen" not in routes.columns:
         routes = routes.withColumn("first_seen", F.lit(None).cast("timestamp"))
     rows = with_purges(routes.select(*key, *facts, "action", "seq", "time", "first_seen"), purges)
@@ -83,17 +86,36 @@ def live(routes: DataFrame, key: list[str], purges: Sequence[tuple[DataFrame, li
     starts = (F.col("action") == "A") & (F.col("_seq").isNull() | (F.col("_action") == "D") | purged(F.col("_seq"), F.col("seq")))
     rows = rows.withColumn("_start", F.when(starts, F.coalesce("first_seen", F.col("time").cast("timestamp"))))
     rows = rows.withColumn("_start", F.last("_start", ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return rows.where(F.col("_last") & (F.col("action") == "A") & ~purged(F.col("seq"))).select(*key, *facts, F.col("_start").alias("first_seen"), F.col("time").cast("timestamp").alias("updated_at"), "seq")
+    rows = rows.where(F.col("_last") & (F.col("action") == "A"))
+    if seen is not None:
+        by_session = F.exists("purges", lambda p: (p["below"] > F.col("seq")) & ~p["eor"])
+        rows = rows.observe(seen, F.count_if(by_session).alias("session_down"), F.count_if(purged(F.col("seq")) & ~by_session).alias("eor_stale"))
+    return rows.where(~purged(F.col("seq"))).select(*key, *facts, F.col("_start").alias("first_seen"), F.col("time").cast("timestamp").alias("updated_at"), "seq")
 
 
-def current_routes(events: DataFrame) -> DataFrame:
+def current_routes(events: DataFrame, seen: Observation | None = None) -> DataFrame:
     """Live Loc-RIB routes of (seq, time, kind, router_id, table_name, afi, prefix, path_id, action, attributes) events."""
-    return live(events.where("kind = 'route'"), LOC_KEY, loc_purges(events), [c for c in ATTRIBUTES if c in events.columns])
+    return live(events.where("kind = 'route'"), LOC_KEY, loc_purges(events), [c for c in ATTRIBUTES if c in events.columns], seen)
 
 
-def adj_rib_in(events: DataFrame) -> DataFrame:
+def adj_rib_in(events: DataFrame, seen: Observation | None = None) -> DataFrame:
     """Live routes of peers. Peer facts are those of the last announcement."""
-    return live(events.where("kind = 'route' and not is_loc_rib"), ADJ_KEY, adj_purges(events), [c for c in (*PEER_FACTS, *ATTRIBUTES) if c in events.columns])
+    return live(events.where("kind = 'route' and not is_loc_rib"), ADJ_KEY, adj_purges(events), [c for c in (*PEER_FACTS, *ATTRIBUTES) if c in events.columns], seen)
+
+
+def since_downs(rows: DataFrame, downs: DataFrame) -> DataFrame:
+    """Rows behind the last Peer Down of their table and of their router."""
+    table = downs.where("table_name <> ''").groupBy("router_id", "table_name").agg(F.max("seq").alias("down"))
+    router = downs.where("table_name = ''").groupBy("router_id").agg(F.max("seq").alias("all_down"))
+    joined = rows.join(table, ["router_id", "table_name"], "left").join(router, "router_id", "left")
+    return joined.where(F.col("seq") > F.greatest(F.coalesce("down", F.lit(-1)), F.coalesce("all_down", F.lit(-1)))).drop("down", "all_down")
+
+
+def condensed(marks: DataFrame) -> DataFrame:
+    """Of each scope and kind the first and the last behind the last Peer Down: all that the status shows, as later Peer Downs are behind them."""
+    ends = since_downs(marks.where("kind <> 'peer_down'"), marks.where("kind = 'peer_down'")).groupBy("router_id", "table_name", "afi", "kind").agg(F.min(F.struct("seq", "time")).alias("a"), F.max(F.struct("seq", "time")).alias("b"))
+    both = ends.select("router_id", "table_name", "afi", "kind", F.explode(F.array_distinct(F.array("a", "b"))).alias("x"))
+    return both.select("router_id", "table_name", "afi", "kind", F.col("x.time").cast("timestamp").alias("time"), "x.seq")
 
 
 def sync_status(events: DataFrame) -> DataFrame:
@@ -102,9 +124,7 @@ def sync_status(events: DataFrame) -> DataFrame:
     ups = families(events.where("kind = 'peer_up'").drop("afi"))
     rows = events.where("kind in ('route', 'eor')").select(*scope, "kind", "seq", "time").unionByName(ups.select(*scope, "kind", "seq", "time"))
     downs = events.where("kind = 'peer_down'")
-    table = downs.where("table_name <> ''").groupBy("router_id", "table_name").agg(F.max("seq").alias("down"))
-    router = downs.where("table_name = ''").groupBy("router_id").agg(F.max("seq").alias("all_down"))
-    rows = rows.join(table, ["router_id", "table_name"], "left").join(router, "router_id", "left").where(F.col("seq") > F.greatest(F.coalesce("down", F.lit(-1)), F.coalesce("all_down", F.lit(-1))))
+    rows = since_downs(rows, downs)
     of = lambda kind, f: f("time", F.when(F.col("kind") == kind, F.col("seq")))
     at = lambda kind, f: f(F.when(F.col("kind") == kind, F.col("seq")))
     made = rows.groupBy(*scope).agg(
@@ -116,10 +136,14 @@ def sync_status(events: DataFrame) -> DataFrame:
     return made.where("begun is not null").select(*scope, "last_parsed_msg_time", F.lit(None).cast("timestamp").alias("last_raw_msg_time"), ended.alias("eor_seen"), F.when(ended, F.col("end_time")).alias("eor_time"), F.coalesce("up_time", "first_time").alias("session_start_time"), F.when(counted, F.col("last_time")).otherwise(F.col("last_own")).alias("updated_at"))
 
 
-def raw_time(status: DataFrame, history: DataFrame) -> DataFrame:
-    """last_raw_msg_time of status rows, from Loc-RIB rows of the history."""
-    last = history.where("peer_address is null").groupBy("router_id", "table_name", "afi").agg(F.max("ingest_time").alias("raw"))
-    return status.drop("last_raw_msg_time").join(last, ["router_id", "table_name", "afi"], "left").withColumnRenamed("raw", "last_raw_msg_time")
+def raw_times(history: DataFrame) -> DataFrame:
+    """(router_id, table_name, afi, raw): the last time of each scope among Loc-RIB rows of the history."""
+    return history.where("peer_address is null").groupBy("router_id", "table_name", "afi").agg(F.max("ingest_time").alias("raw"))
+
+
+def raw_time(status: DataFrame, times: DataFrame) -> DataFrame:
+    """last_raw_msg_time of status rows, from raw_times()."""
+    return status.drop("last_raw_msg_time").join(times, ["router_id", "table_name", "afi"], "left").withColumnRenamed("raw", "last_raw_msg_time")
 
 
 def carried(snapshot: DataFrame, events: DataFrame) -> DataFrame:

@@ -12,22 +12,31 @@ def local_date(time: Column, timezone: str = "UTC") -> Column:
     return F.to_date(F.from_utc_timestamp(F.to_utc_timestamp(time.cast("timestamp"), F.current_timezone()), timezone))
 
 
-def rows(events: DataFrame, time: str = "time", timezone: str = "UTC", keep_raw: bool = True) -> DataFrame:
-    """route_events of decoded, identified events: routes only; path id 0, and the peer of a Loc-RIB, are null."""
+def rows(events: DataFrame, time: str = "time", timezone: str = "UTC", keep_raw: bool = True, keep: Sequence[str] = ()) -> DataFrame:
+    """route_events of decoded, identified events, and columns `keep`: routes only; path id 0, and the peer of a Loc-RIB, are null."""
     peer = lambda c: F.when(~F.col("is_loc_rib") & F.col("peer_address").isNotNull(), F.col(c)).alias(c)
     plain = ["router_id", "table_name", "afi", "prefix", "action", "nexthop", "as_path", "origin", "localpref", "med", "origin_asn", "communities_std", "communities_ext", "communities_large", "attrs"]
-    return events.where("kind = 'route'").select("event_id", F.col(time).cast("timestamp").alias("ingest_time"), local_date(F.col(time), timezone).alias("ingest_date"), *plain, F.nullif("path_id", F.lit(0).cast("bigint")).alias("path_id"), *(peer(c) for c in ("peer_address", "peer_asn", "peer_bgp_id", "is_post_policy")), (F.col("bmp_raw") if keep_raw else F.lit(None).cast("binary")).alias("bmp_raw"))
+    return events.where("kind = 'route'").select("event_id", F.col(time).cast("timestamp").alias("ingest_time"), local_date(F.col(time), timezone).alias("ingest_date"), *plain, F.nullif("path_id", F.lit(0).cast("bigint")).alias("path_id"), *(peer(c) for c in ("peer_address", "peer_asn", "peer_bgp_id", "is_post_policy")), (F.col("bmp_raw") if keep_raw else F.lit(None).cast("binary")).alias("bmp_raw"), *keep)
 
 
-def deduplicated(history: DataFrame, by: Sequence[str] = ("ingest_date",)) -> DataFrame:
-    """The first row of each event id in its date (or batch). Only ids and times are compared before the shuffle by id."""
-    first = Window.partitionBy("event_id", *by).orderBy("ingest_time", "router_id")
-    return history.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+def deduplicated(history: DataFrame, by: Sequence[str] = ("ingest_date",), place: str | None = None) -> DataFrame:
+    """The first row of each event id in its date (or batch).
+
+    `place`: a column that tells rows apart. With it only ids, times and places are compared, combined before the
+    shuffle, and whole rows meet the few that repeat; without it whole rows are shuffled by id.
+    """
+    if place is None:
+        first = Window.partitionBy("event_id", *by).orderBy("ingest_time", "router_id")
+        return history.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+    per = history.groupBy("event_id", *by).agg(F.min(F.struct("ingest_time", "router_id", place)).alias("first"), F.count("*").alias("n")).where("n > 1")
+    repeated = per.select("event_id", *by, F.col(f"first.{place}").alias("_first"))
+    return history.join(repeated, ["event_id", *by], "left").where(F.col("_first").isNull() | (F.col("_first") == F.col(place))).drop("_first")
 
 
 def fresh(history: DataFrame, stored: DataFrame) -> DataFrame:
-    """Rows whose id isn't in `stored` for the same date; the date prunes what is read."""
-    return history.join(stored.select("event_id", "ingest_date"), ["event_id", "ingest_date"], "left_anti")
+    """Rows whose id isn't in `stored` for the same date. The dates of the rows come to the driver, so that the scan of `stored` reads only these days."""
+    days = [r[0] for r in history.select("ingest_date").distinct().collect()]
+    return history.join(stored.where(F.col("ingest_date").isin(days)).select("event_id", "ingest_date"), ["event_id", "ingest_date"], "left_anti")
 
 
 def compressed(history: DataFrame, column: str = "bmp_raw") -> DataFrame:

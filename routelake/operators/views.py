@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import ipaddress
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -95,13 +97,15 @@ def longest_match(addresses: DataFrame, routes: DataFrame, address: str = "addre
     return best.withColumn("prefix", F.col("route.prefix"))
 
 
+def holding(address: str) -> list[str]:
+    """The names of all networks that hold an address, the longest first."""
+    ip = ipaddress.ip_address(address)
+    return [str(ipaddress.ip_network((ip, n), strict=False)) for n in range(ip.max_prefixlen, -1, -1)]
+
+
 def match_one(routes: DataFrame, address: str) -> DataFrame:
     """The routes of the longest prefix that holds one address: the filter is a list of its networks' names, which the scan can use."""
-    import ipaddress
-
-    ip = ipaddress.ip_address(address)
-    names = [str(ipaddress.ip_network((ip, n), strict=False)) for n in range(ip.max_prefixlen, -1, -1)]
-    return routes.where(F.col("prefix").isin(names)).orderBy(F.desc(C.masklen("prefix"))).limit(1)
+    return routes.where(F.col("prefix").isin(holding(address))).orderBy(F.desc(C.masklen("prefix"))).limit(1)
 
 
 # history and health
@@ -137,6 +141,33 @@ def acceptance_count(routes: DataFrame) -> DataFrame:
 
 
 def register(**tables: DataFrame) -> None:
-    """Temporary views for SQL, by name."""
+    """Temporary views for SQL, by name; tables of routes get network, by which prefixes sort as networks."""
     for name, df in tables.items():
-        df.createOrReplaceTempView(name)
+        (df.withColumn("network", C.sort_key("prefix")) if name in ("current_routes", "adj_rib_in") else df).createOrReplaceTempView(name)
+
+
+#: The read queries as SQL over registered views; :names are parameters.
+READS = {
+    "by_router": "select * from current_routes where router_id = :router_id order by network",
+    "exact_prefix": "select * from current_routes where prefix = :prefix",
+    "match_one": "select * from current_routes where array_contains(:networks, prefix) order by cast(substring_index(prefix, '/', -1) as int) desc limit 1",
+    "by_origin": "select prefix, nexthop, as_path from current_routes where origin_asn = :asn",
+    "by_community": "select prefix, nexthop, as_path from current_routes where array_contains(communities_std, :community)",
+    "by_nexthop": "select prefix, as_path from current_routes where nexthop = :nexthop",
+    "changed_since": "select * from current_routes where updated_at > :since order by updated_at desc",
+    "across_routers": "select router_id, nexthop, as_path from current_routes where prefix = :prefix order by router_id",
+    "prefix_history": "select ingest_time, action, nexthop, as_path, origin_asn from route_events where router_id = :router_id and prefix = :prefix order by ingest_time desc limit 100",
+    "churn": "select date_trunc('minute', ingest_time) as minute, count(*) as events, count_if(action = 'A') as adds, count_if(action = 'D') as withdraws from route_events where router_id = :router_id and ingest_time > :since group by 1 order by minute desc",
+    "in_window": "select ingest_time, prefix, action, nexthop from route_events where router_id = :router_id and ingest_time between :start and :stop and ingest_date between date_sub(:start, 1) and date_add(:stop, 1) order by ingest_time desc",
+    "sync_health": "select s.router_id, hostname, afi, eor_seen, eor_time, session_start_time, updated_at from rib_sync_status s left join routers r on r.router_id = s.router_id order by s.router_id, afi",
+    "stale_sessions": "select router_id, table_name, afi, updated_at from rib_sync_status where updated_at < :now - interval 5 minutes",
+    "summary_counts": "select * from route_summary order by router_id, afi",
+    "live_counts": "select router_id, table_name, afi, count(*) as route_count, count(distinct prefix) as unique_prefixes from current_routes group by router_id, table_name, afi",
+}
+
+
+def ask(spark: SparkSession, name: str, **parameters) -> DataFrame:
+    """A read query by name. match_one takes the address."""
+    if "address" in parameters:
+        parameters["networks"] = F.array(*map(F.lit, holding(parameters.pop("address"))))
+    return spark.sql(READS[name], args=parameters)

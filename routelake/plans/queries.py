@@ -102,7 +102,8 @@ KEY = ["router_id", "table_name", "afi", "prefix", "path_id"]
 def roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as frames, read back."""
     source = loc(spark, sf_dir, True).withColumn("localpref", F.col("seq") % 300)
-    return D.routed(D.identified(D.decode(frames.encoded(source, ["seq", "time"]), ["seq", "time"]), ["seq", "msg_index", "event_index"]))
+    # a Loc-RIB names its router itself
+    return D.routed(D.decode(frames.encoded(source, ["seq", "time"]), ["seq", "time"], ids=False).withColumn("router_id", D.loc_router()))
 
 
 def q_roundtrip_v4_announce(spark, sf_dir):
@@ -125,6 +126,97 @@ def q_roundtrip_add_path(spark, sf_dir):
     return roundtrip(spark, sf_dir).where("path_id > 0").select("seq", "prefix", "path_id", "add_path")
 
 
+#: Over `events`: session markers of Loc-RIBs and of peers.
+SESSION = {
+    "seq": "event_id",
+    "kind": "case event_type when 'signup' then 'peer_up' when 'click' then 'peer_down' else 'eor' end",
+    "is_loc_rib": "event_id % 3 = 0",
+    "router_id": "concat('10.0.0.', cast(1 + event_id % 7 as string))",
+    "table_name": "'inet.0'",
+    "afi": "cast(case when event_id % 2 = 0 then 6 else 4 end as int)",
+    "peer_address": "concat('198.51.100.', cast(user_id % 50 as string))",
+    "peer_asn": "cast(64512 + user_id % 9 as bigint)",
+    "peer_bgp_id": "concat('203.0.113.', cast(1 + user_id % 50 as string))",
+    "local_asn": "cast(64000 + user_id * 100 as bigint)",
+    "reason": "cast(1 + event_id % 5 as int)",
+}
+
+
+def wrapped(df: DataFrame) -> DataFrame:
+    """With what a wrapper of version 1.7 says of the router."""
+    return df.withColumns({"router_hash": F.md5(F.col("router_id").cast("binary")), "frame_ip": F.col("router_id")})
+
+
+def through(df: DataFrame, *keep: str) -> DataFrame:
+    """Events as frames, decoded."""
+    return D.decode(frames.encoded(df, list(keep)), list(keep), ids=False)
+
+
+def q_roundtrip_peers(spark, sf_dir):
+    return through(wrapped(adj(spark, sf_dir).where("kind = 'route'")), "seq").select("seq", "router_hash", "frame_ip", "peer_address", "peer_asn", "peer_bgp_id", "is_post_policy", "table_name", "prefix", "action", "nexthop")
+
+
+def q_roundtrip_sessions(spark, sf_dir):
+    rows = read(spark, sf_dir, "events").where("event_type in ('signup', 'click', 'purchase')").selectExpr(*(f"{c} as {n}" for n, c in SESSION.items()))
+    return through(rows, "seq").select("seq", "kind", "is_loc_rib", "table_name", "header_router", "afi", "peer_address", "peer_bgp_id", "local_bgp_id", *(F.col(c).cast("string").alias(c) for c in ("peer_asn", "local_asn", "reason")))
+
+
+def q_roundtrip_initiation(spark, sf_dir):
+    rows = read(spark, sf_dir, "supplier").selectExpr("s_suppkey as seq", "'router' as kind", "s_name as sys_name", "concat('site ', cast(s_nationkey as string)) as sys_descr")
+    return through(rows, "seq").select("seq", "kind", "sys_name", "sys_descr")
+
+
+def q_roundtrip_attributes(spark, sf_dir):
+    text = lambda kind, c: F.concat(F.lit(kind), (F.col("seq") % c).cast("string"))
+    rows = loc(spark, sf_dir, True).where("action = 'A'").withColumns({"med": F.col("seq") * 3, "communities_ext": F.array(text("RT:65001:", 1000), text("SOO:65002:", 7)), "communities_large": F.array(text("70000:1:", 100000))})
+    return through(rows, "seq").select("seq", "med", F.array_join("communities_ext", " ").alias("extended"), F.array_join("communities_large", " ").alias("large"))
+
+
+def q_add_path_detected(spark, sf_dir):
+    """Path ids without the flag: a reading as plain prefixes is doubtful."""
+    rows = loc(spark, sf_dir, True).where("afi = 4 and action = 'A'").withColumns({"path_id": 64 + F.col("seq") % 150, "path_flag": F.lit(False)})
+    return through(rows, "seq").select("seq", "prefix", "path_id", "add_path")
+
+
+def q_frame_messages(spark, sf_dir):
+    """Several messages in a frame."""
+    rows = loc(spark, sf_dir, True).withColumn("messages", (1 + F.col("seq") % 4).cast("int"))
+    return through(rows, "seq").select("seq", "msg_index", "prefix", "action")
+
+
+def q_current_routes_decoded(spark, sf_dir):
+    """The fold, fed by frames: routes, session starts, End-of-RIBs and Peer Downs."""
+    events = D.routed(through(loc(spark, sf_dir), "seq", "time").withColumn("router_id", D.loc_router()))
+    return plain(fold.current_routes(events).select(*KEY, "nexthop", "first_seen", "updated_at"))
+
+
+def q_adj_rib_in_decoded(spark, sf_dir):
+    """The same of peers, whose router is named by the last Peer Up."""
+    source = wrapped(adj(spark, sf_dir).withColumn("local_asn", F.col("peer_asn")))
+    rows = D.routed(D.identified(through(source, "seq", "time"), ["seq"]))
+    return plain(fold.adj_rib_in(D.adj_rib_in(rows)).select("router_id", "peer_address", "is_post_policy", "table_name", "afi", "prefix", "path_id", "peer_asn", "nexthop", "first_seen", "updated_at"))
+
+
+def q_routers_decoded(spark, sf_dir):
+    """routers of Initiations and of peers' session starts."""
+    s = read(spark, sf_dir, "supplier").selectExpr("s_suppkey as seq", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, cast(s_suppkey as int)) as time", "case when s_suppkey % 3 = 0 then 'peer_up' else 'router' end as kind", "false as is_loc_rib", "concat('10.0.0.', cast(s_suppkey % 5 as string)) as router_id", "s_name as sys_name", "concat('site ', cast(s_nationkey as string)) as sys_descr", "'198.51.100.1' as peer_address", "cast(70000 + s_nationkey as bigint) as local_asn")
+    rows = D.identified(through(wrapped(s), "seq", "time"), ["seq"])
+    return plain(history.merged_routers(history.router_updates(rows)).select("router_id", "router_ip", "hostname", "description", F.col("as_number").cast("string").alias("as_number"), "first_seen", "last_seen"))
+
+
+def q_json_peer_feed(spark, sf_dir):
+    e = read(spark, sf_dir, "events").selectExpr(*(f"{c} as {n}" for n, c in SESSION.items()))
+    flag = F.when(F.col("seq") % 2 == 0, F.to_json(F.struct(F.col("is_loc_rib")))).otherwise(F.to_json(F.struct(F.col("is_loc_rib").cast("string").alias("is_loc_rib"))))
+    names = F.to_json(F.struct(F.col("router_id").alias("bmp_router"), F.upper("kind").alias("action"), F.when(F.col("seq") % 5 > 0, F.col("table_name")).alias("table_name")))
+    record = F.concat(F.substring(flag, F.lit(1), F.length(flag) - 1), F.lit(","), F.substring(names, 2, 10000))
+    rows = jsonfeed.events(e.select("seq", F.lit("x.parsed.peer").alias("topic"), record.alias("value")), ["seq"])
+    return rows.select("seq", "kind", "router_id", "table_name")
+
+
+def q_summary_counts(spark, sf_dir):
+    return plain(views.summary_counts(views.route_summary(fold.current_routes(loc(spark, sf_dir)))))
+
+
 def feed(spark, sf_dir):
     """Events as JSON records."""
     e = loc(spark, sf_dir, True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .queries import PEER_ROUTE, ROUTE, sql
+from .queries import PEER_ROUTE, ROUTE, SESSION, sql
 
 KEY = "router_id, table_name, afi, prefix, path_id"
 EVENTS = sql(ROUTE, "events")
@@ -65,6 +65,10 @@ def text(n: str) -> str:
     return f"(({n}) >> 24) || '.' || ((({n}) >> 16) & 255) || '.' || ((({n}) >> 8) & 255) || '.' || (({n}) & 255)"
 
 
+#: Frames of peers carry no table.
+UNNAMED = folded(PEERS.replace(f"{PEER_ROUTE['table_name']} as table_name", "'' as table_name"), PEER_KEY, PEER_SCOPES)
+SESSIONS = sql(SESSION, "events")
+
 SUMMARY = "count(*) as route_count, count(distinct prefix) as unique_prefixes, count(distinct nexthop) as unique_nexthops, max(updated_at) as last_update"
 
 SQL = {
@@ -73,6 +77,24 @@ SQL = {
     "roundtrip_as_path": f"select seq, as_path, origin_asn::varchar as origin_asn, 'IGP' as origin, seq % 300 as localpref from ({ALL_ROUTES}) where action = 'A'",
     "roundtrip_communities": f"select seq, community as communities from ({ALL_ROUTES}) where community is not null",
     "roundtrip_add_path": f"select seq, prefix, path_id, true as add_path from ({ALL_ROUTES}) where path_id > 0",
+    "roundtrip_peers": f"select seq, md5(router_id) as router_hash, router_id as frame_ip, peer_address, peer_asn, peer_bgp_id, is_post_policy, 'UNKNOWN' as table_name, prefix, action, case when action = 'A' then nexthop end as nexthop from ({PEERS}) where kind = 'route'",
+    "roundtrip_sessions": f"""
+        select seq, kind, is_loc_rib, case when is_loc_rib then table_name else 'UNKNOWN' end as table_name, case when is_loc_rib then router_id else peer_address end as header_router, case when kind = 'eor' then afi end as afi,
+          case when not is_loc_rib then peer_address end as peer_address, case when not is_loc_rib then peer_bgp_id end as peer_bgp_id, case when kind = 'peer_up' then router_id end as local_bgp_id,
+          case when not is_loc_rib then peer_asn end::varchar as peer_asn, case when kind = 'peer_up' and not is_loc_rib then local_asn end::varchar as local_asn, case when kind = 'peer_down' then reason end::varchar as reason
+        from ({sql(SESSION, "events", where="event_type in ('signup', 'click', 'purchase')")})""",
+    "roundtrip_initiation": "select s_suppkey as seq, 'router' as kind, s_name as sys_name, 'site ' || s_nationkey as sys_descr from supplier",
+    "roundtrip_attributes": f"select seq, seq * 3 as med, 'RT:65001:' || (seq % 1000) || ' SOO:65002:' || (seq % 7) as extended, '70000:1:' || (seq % 100000) as large from ({ALL_ROUTES}) where action = 'A'",
+    "add_path_detected": f"select seq, prefix, 64 + seq % 150 as path_id, true as add_path from ({ALL_ROUTES}) where afi = 4 and action = 'A'",
+    "frame_messages": f"select seq, unnest(range(1 + seq % 4))::int as msg_index, prefix, action from ({ALL_ROUTES})",
+    "current_routes_decoded": f"{CURRENT} select {KEY}, nexthop, first_seen, updated_at from live",
+    "adj_rib_in_decoded": f"{UNNAMED} select {PEER_KEY}, peer_asn, nexthop, first_seen, updated_at from live",
+    "routers_decoded": """
+        select router_id, router_id as router_ip, arg_max(case when named then s_name end, seq) filter (named) as hostname, arg_max(case when named then 'site ' || s_nationkey end, seq) filter (named) as description,
+          arg_max(70000 + s_nationkey, seq) filter (not named)::varchar as as_number, min(time) filter (named or changed) as first_seen, max(time) filter (named or changed) as last_seen
+        from (select *, named or lag(s_nationkey) over (partition by router_id, named order by seq) is distinct from s_nationkey as changed from (
+          select s_suppkey as seq, timestamp '2024-01-01' + to_minutes(s_suppkey) as time, '10.0.0.' || (s_suppkey % 5) as router_id, s_suppkey % 3 <> 0 as named, s_name, s_nationkey from supplier)) group by router_id""",
+    "json_peer_feed": f"select seq, kind, router_id, case when seq % 5 > 0 then table_name else '' end as table_name from ({SESSIONS}) where is_loc_rib and kind in ('peer_up', 'peer_down')",
     "json_feed_decode": f"select seq, {KEY}, action, nexthop, as_path, 'igp' as origin, seq % 100 as med, origin_asn::varchar as origin_asn, community as communities, 'x' || seq as note from ({ALL_ROUTES})",
     "origin_asn": f"select seq, case when as_path like '%}}' then null else split_part(as_path, ' ', -1) end as origin_asn from ({ALL_ROUTES})",
     "event_id_sha256": f"select event_id, prefix, action from {HISTORY}",
@@ -118,6 +140,7 @@ SQL = {
     "changes_in_window": f"select ingest_time, prefix, action, nexthop from {HISTORY} where router_id = '10.0.0.2' and ingest_time between timestamp '2024-01-10' and timestamp '2024-01-11 12:00:00'",
     "sync_health": f"select s.router_id, q.hostname, afi, eor_seen, eor_time, session_start_time, updated_at from ({STATUS}) s left join ({ROUTERS}) q on q.router_id = s.router_id",
     "stale_sessions": f"select router_id, table_name, afi, updated_at from ({STATUS}) where updated_at < timestamp '2024-01-30 19:00:00'",
+    "summary_counts": f"{CURRENT} select router_id, table_name, afi, {SUMMARY} from live group by all",
     "live_counts": f"{PLAIN} select router_id, table_name, afi, count(*) as route_count, count(distinct prefix) as unique_prefixes from live group by all",
     "acceptance_count": f"{PLAIN} select count(*) as routes from live where afi = 4",
     "prefix_functions": f"select p_partkey, len, net as number, false as odd, len >= 9 and net < 167772160 + 8388608 as held from {NETWORKS}",

@@ -14,7 +14,7 @@ from routelake.metrics import Metrics
 from routelake.operators import decode, fold, history, jsonfeed, views
 from routelake.plans import queries, sql
 from routelake.sources import frames, tables
-from routelake.streaming.ingest import Store, ingest
+from routelake.streaming.ingest import Store, in_order, ingest, numbered
 
 EVENT = "seq bigint, time timestamp, kind string, is_loc_rib boolean, router_id string, peer_address string, table_name string, afi int, prefix string, path_id bigint, action string, is_post_policy boolean, nexthop string"
 
@@ -121,7 +121,10 @@ def test_batches_give_the_same_state(spark, tmp_path):
     assert {k: v for k, v in held(store.peers.read().select("router_id", "peer_address", "is_post_policy", "table_name", "afi", "prefix", "path_id", "first_seen", "updated_at", "nexthop"), 7).items()} == adj
     got = {(r.router_id, r.table_name, r.afi): (r.session_start_time, r.eor_seen, r.eor_time, r.updated_at) for r in store.status().collect()}
     assert got == {k: (s["start"], s["eor"], s["end"], s["updated"]) for k, s in sync.items()}
-    assert 'kafka_messages_total{action="A",afi="4",pipeline="state"}' in store.metrics.text()
+    text = store.metrics.text()
+    assert 'kafka_messages_total{action="A",afi="4",pipeline="state",topic=""}' in text and 'kafka_messages_total{action="adj_A"' in text
+    for series in ('db_rows_affected_total{op="upsert",pipeline="state",table="current_routes"}', 'db_write_duration_seconds_count{op="batch",pipeline="state"}', 'routes_purged_total{reason="session_down"}', 'routes_purged_total{reason="adj_eor_stale"}', 'batch_size_bucket{pipeline="state",le="2000"}'):
+        assert series in text
 
 
 def test_stream_from_files_equals_batch(spark, tmp_path):
@@ -142,9 +145,14 @@ def test_stream_from_files_equals_batch(spark, tmp_path):
     key = ["router_id", "table_name", "afi", "prefix", "path_id", "nexthop"]
     want = sorted(map(str, fold.current_routes(source).select(*key).collect()))
     assert sorted(map(str, store.current.read().select(*key).collect())) == want and want
-    assert store.history.read().count() == 300
+    assert store.history.read().count() == 300 and store.places["state"].read().first()[0] == 301
     assert spark.read.parquet(str(tmp_path / "out/quarantine")).count() == 1
+    assert 'parse_errors_total{reason="openbmp_decode",stage="raw"} 1' in store.metrics.text() and 'db_rows_affected_total{op="insert",pipeline="history",table="route_events"} 300' in store.metrics.text()
+    assert store.status().where("last_raw_msg_time is not null").count() == store.status().count() > 0
+    assert store.history.compact("1970-01-01") and not store.history.compact("1970-01-01")
+    assert store.history.read().count() == 300 and len(list((tmp_path / "out/route_events/ingest_date=1970-01-01").glob("batch=*"))) == 1
     views.register(**store.views())
+    assert views.ask(spark, "match_one", address="10.1.1.9").first().prefix == "10.1.1.0/24"
     assert spark.sql("select sum(route_count) from routers_overview").first()[0] == len(want)
     gone = maintenance.run(spark, store, 30, now=dt.datetime(2024, 1, 1, tzinfo=dt.UTC))
     assert gone == ["1970-01-01"] and store.history.days() == []
@@ -225,7 +233,93 @@ def test_networks(spark):
     assert all(r.x == r.want for r in spark.createDataFrame(paths, "p string, want bigint").select(C.origin_asn("p").alias("x"), "want").collect())
 
 
+def test_state_and_history_have_queries_of_their_own(spark, tmp_path):
+    """The history goes on while the state stands still; stored bytes are compressed, or left out."""
+    source = queries.loc(spark, "/root/testdata/sf0.001", True).withColumn("localpref", F.lit(7)).orderBy("seq").limit(50)
+    records = frames.encoded(source, ["seq"]).select("value", F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("seq").alias("offset"), F.timestamp_seconds("seq").alias("timestamp"))
+    records.coalesce(1).write.parquet(str(tmp_path / "in"))
+    store = Store(spark, str(tmp_path / "out"))
+    stream = lambda: frames.file_stream(spark, str(tmp_path / "in"))
+    ingest(store, stream(), str(tmp_path / "c1"), pipelines=("history",), compress=True).awaitTermination()
+    assert store.history.read().count() == 50 and store.current.read().count() == 0
+    assert bytes(store.history.read().first().bmp_raw)[:4] == bytes.fromhex("28B52FFD")
+    ingest(store, stream(), str(tmp_path / "c2"), pipelines=("state",)).awaitTermination()
+    assert store.history.read().count() == 50 and store.current.read().count() == fold.current_routes(source).count() > 0
+    plain = Store(spark, str(tmp_path / "plain"))
+    ingest(plain, stream(), str(tmp_path / "c3"), pipelines=("history",), keep_raw=False).awaitTermination()
+    assert plain.history.read().where("bmp_raw is null").count() == 50
+
+
+def test_read_queries_in_sql_equal_functions(spark):
+    sf = "/root/testdata/sf0.001"
+    routes, history_, status, routers = queries.current(spark, sf).cache(), queries.stored_history(spark, sf).cache(), fold.sync_status(queries.loc(spark, sf)).cache(), queries.routers_of(spark, sf).cache()
+    views.register(current_routes=routes, route_events=history_, rib_sync_status=status, routers=routers, route_summary=views.route_summary(routes))
+    since = dt.datetime(2024, 1, 20)
+    stop, now = since + dt.timedelta(days=2), dt.datetime(2024, 1, 30, 23)
+    event = history_.where("nexthop is not null").first()
+    prefix = routes.first().prefix
+    some = routes.where("as_path is not null and origin_asn is not null").first()
+    for name, own, args in (
+        ("by_router", views.by_router(routes, "10.0.0.2"), {"router_id": "10.0.0.2"}),
+        ("exact_prefix", views.exact_prefix(routes, prefix), {"prefix": prefix}),
+        ("match_one", views.match_one(routes.where("router_id = '10.0.0.2'"), "10.1.1.9"), None),
+        ("by_origin", views.by_origin(routes, some.origin_asn), {"asn": some.origin_asn}),
+        ("by_community", views.by_community(routes, some.communities_std[0]), {"community": some.communities_std[0]}),
+        ("by_nexthop", views.by_nexthop(routes, some.nexthop), {"nexthop": some.nexthop}),
+        ("changed_since", views.changed_since(routes, F.lit(since)), {"since": since}),
+        ("across_routers", views.across_routers(routes, prefix), {"prefix": prefix}),
+        ("prefix_history", views.prefix_history(history_, event.router_id, event.prefix), {"router_id": event.router_id, "prefix": event.prefix}),
+        ("churn", views.churn(history_.where("router_id = '10.0.0.2'"), F.lit(since)), {"router_id": "10.0.0.2", "since": since}),
+        ("in_window", views.in_window(history_, "10.0.0.2", F.lit(since), F.lit(stop)), {"router_id": "10.0.0.2", "start": since, "stop": stop}),
+        ("sync_health", views.sync_health(status, routers), {}),
+        ("stale_sessions", views.stale_sessions(status, F.lit(now)), {"now": now}),
+        ("summary_counts", views.summary_counts(views.route_summary(routes)), {}),
+        ("live_counts", views.live_counts(routes), {}),
+    ):
+        if args is None:
+            assert views.ask(spark, name, address="10.1.1.9").select("prefix").collect() == views.match_one(routes, "10.1.1.9").select("prefix").collect() != []
+            continue
+        found = views.ask(spark, name, **args)
+        assert sorted(map(str, found.select(*own.columns).collect())) == sorted(map(str, own.collect())) != [], name
+
+
+def test_rows_are_numbered_without_gaps(spark):
+    rows = in_order(spark.range(1000).withColumn("x", F.col("id") * 7919 % 1000), ["x"]).withColumn("_id", F.monotonically_increasing_id()).persist()
+    made, after = numbered(rows, 5)
+    assert after == 1005 and [(r.x, r.seq) for r in made.orderBy("seq").collect()] == [(i, i + 5) for i in range(1000)]
+    assert numbered(rows.limit(0).withColumn("_id", F.monotonically_increasing_id()).persist(), 9)[1] == 9
+
+
+def test_parts_that_no_batch_touches_stay(spark, tmp_path):
+    table = tables.Parted(spark, str(tmp_path / "t"), "router_id string, a int", parts=8)
+    rows = spark.createDataFrame([(f"r{i}", i) for i in range(40)], table.schema)
+    every = table.touched(rows)
+    table.write(rows, 0, every)
+    part = table.touched(rows.where("router_id = 'r3'"))
+    for v in range(1, 5):
+        table.write(table.read(part).withColumn("a", F.when(F.col("router_id") == "r3", 100 + v).otherwise(F.col("a"))), v, part)
+        table.write(rows, v, every)  # again: nothing happens
+    assert {(r.router_id, r.a) for r in table.read().collect()} == {(f"r{i}", 104 if i == 3 else i) for i in range(40)}
+    assert sorted(set(table.places(4).values())) == [0, 4] and not (tmp_path / "t/v=1").exists() and not (tmp_path / f"t/v=0/part={part[0]}").exists()
+    table.write(rows.limit(0), 5, part)  # a part that has become empty
+    assert table.read(part).count() == 0 and table.read().count() == 40 - rows.where(table.part() == part[0]).count()
+
+
+def test_history_reads_only_the_days_of_a_batch(spark, tmp_path):
+    made = queries.stored_history(spark, "/root/testdata/sf0.001").limit(200).withColumn("seq", F.monotonically_increasing_id()).cache()
+    once = history.deduplicated(made, place="seq").drop("seq")
+    assert sorted(map(str, once.select("event_id", "ingest_time").collect())) == sorted(map(str, history.deduplicated(made.drop("seq")).select("event_id", "ingest_time").collect()))
+    once.write.partitionBy("ingest_date").parquet(str(tmp_path / "h"))
+    stored = spark.read.schema(once.schema).parquet(str(tmp_path / "h"))
+    day = once.first().ingest_date
+    left = history.fresh(once.where(F.col("ingest_date") == day), stored)
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert left.count() == 0 and "PartitionFilters: [isnotnull(ingest_date" in plan and str(day) in plan
+
+
 def test_plans_stay_declarative(spark):
+    frame = lambda df: df._jdf.queryExecution().executedPlan().toString().count("MapInArrow")
+    assert all(frame(queries.queries()[n](spark, "/root/testdata/sf0.001")) == 2 for n in queries.queries() if n.startswith("roundtrip"))  # encoded once, decoded once
     plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
     lpm = plan(queries.queries()["lpm"](spark, "/root/testdata/sf0.001"))
     assert "NestedLoop" not in lpm and "Cartesian" not in lpm
@@ -242,6 +336,10 @@ def test_versions_and_days(spark, tmp_path):
     assert table.version() == 3 and table.read().first().a == 3 and not (tmp_path / "t/v=0").exists()
     assert maintenance.migrate(spark, str(tmp_path), {2: lambda s: None, 1: lambda s: None}) == [1, 2]
     assert maintenance.migrate(spark, str(tmp_path), {3: lambda s: None, 1: lambda s: None}) == [3]
+    assert tables.Files(spark, str(tmp_path)).claim(f"{tmp_path}/schema_migrations/lock")
+    with pytest.raises(TimeoutError):
+        maintenance.migrate(spark, str(tmp_path), {4: lambda s: None}, wait=0.1)
+    assert maintenance.until_midnight("Asia/Tokyo", dt.datetime(2025, 1, 31, 14, 59, tzinfo=dt.UTC)) == 60
     now = dt.datetime(2025, 1, 31, 23, 30, tzinfo=dt.UTC)
     assert maintenance.expired(["2025-01-01", "2025-01-02", "junk"], 30, "UTC", now) == [] and maintenance.expired(["2024-12-31", "2025-01-01"], 30, "Asia/Tokyo", now) == ["2024-12-31", "2025-01-01"]
     assert [maintenance.is_partition(n) for n in ("route_events_20250115", "route_events_2025011", "route_events_20250115; x", "route_events_20250115\n")] == [True, False, False, False]
@@ -263,6 +361,11 @@ def test_config(tmp_path):
     c = config.load(str(path), env)
     options = frames.kafka_options(c.kafka, c.kafka.state.group_id, c.kafka.state.topics)
     assert c.routers["10.0.0.1"].name == "core" and options["kafka.security.protocol"] == "SASL_SSL" and 'password="p\\""' in options["kafka.sasl.jaas.config"]
+    (tmp_path / "cert").write_text("CERT")
+    (tmp_path / "key").write_text("KEY")
+    c.kafka.tls.cert_file, c.kafka.tls.key_file = str(tmp_path / "cert"), str(tmp_path / "key")
+    options = frames.kafka_options(c.kafka, "g", ["t"])
+    assert (options["kafka.ssl.keystore.type"], options["kafka.ssl.keystore.certificate.chain"], options["kafka.ssl.keystore.key"]) == ("PEM", "CERT", "KEY")
     c.kafka.sasl.mechanism = "SCRAM"
     assert "kafka.sasl.mechanism" not in frames.kafka_options(c.kafka, "g", ["t"])
     assert config.redacted("postgres://u:secret@h/db password=x y") == "postgres://u:***@h/db password=*** y"
