@@ -8,14 +8,16 @@ can't be members; that set is rescored exactly.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
 
-#: Candidates of a block (about 2.5 kB of memory each at 64 components), queries of a group.
-BLOCK, GROUP = 32768, 1024
+#: Candidates of a block (about 2.5 kB of memory each at 64 components).
+BLOCK = 16384
 #: Fractions of the largest contribution down to which segments are processed before each look at the bounds.
 STEPS = (0.15, 0.1, 0.07, 0.045, 0.02, 0.0)
 #: Widest range of values for which the number of postings at each impact is kept in a table.
@@ -83,36 +85,55 @@ def best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
-def search(embeddings: DataFrame, query, k: int = 20, scale: int = 64, block: int = BLOCK, group: int = GROUP) -> DataFrame:
+def search(embeddings: DataFrame, query, k: int = 20, scale: int = 64, block: int = BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: the k rows of greatest inner product for each row where `query` (a column) is true.
 
     Components count as floor(scale * x). A row isn't its own candidate (rows of one vec_id count as one's own); ties
     go to smaller vec_ids; with fewer than k candidates all are returned. Null, empty, non-finite vectors and null
-    vec_ids take no part; zero vectors do, and only vectors of one length meet. Queries go in groups and candidates in
-    blocks; every group meets every block once, and each block returns k rows a query at most. Empty table: none.
+    vec_ids take no part; zero vectors do, and only vectors of one length meet. Queries that repeat a vec_id and vector
+    count once; different vectors of one vec_id are queries of their own. Candidates are dealt into blocks, each
+    indexed once; queries are streamed past every block, which returns k rows a query at most. A block of up to 8 * k
+    candidates, or with components of 2^20 and more, is scored as a whole. Empty table: none.
     """
     import pyarrow as pa
 
     finite = F.coalesce(F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False)) & (F.size("embedding") > 0)
     rows = stored(embeddings.where(finite & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), F.coalesce(query, F.lit(False)).alias("asks"), F.size("embedding").alias("dim"), F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v")))
-    n, asking = rows.agg(F.count("*"), F.coalesce(F.sum(F.col("asks").cast("long")), F.lit(0))).first()
-    blocks, groups = 1 + n // block, 1 + asking // group
-    dealt = lambda m: F.pmod(F.xxhash64("vec_id"), F.lit(m)).cast("int")
-    held = rows.select("vec_id", "dim", "v", dealt(blocks).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("grp"))
-    asked = rows.where("asks").select("vec_id", "dim", "v", dealt(groups).alias("grp"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        array = lambda t: (t.column("vec_id").to_numpy(), np.array(t.column("v").combine_chunks().flatten()).reshape(t.num_rows, -1))
-        out: list[tuple] = []
-        if left.num_rows and right.num_rows:
-            index, (ids, queries) = ImpactIndex(*array(left)), array(right)
-            for i, q in zip(ids, queries, strict=True):
-                found, score = index.top(q, i, k)
-                out += [(i, found[j], score[j]) for j in best(found, score, k)]
-        cols = list(zip(*out, strict=True)) or [[], [], []]
-        return pa.table({c: pa.array(np.array(x, np.int64)) for c, x in zip(("query_id", "vec_id", "score"), cols, strict=True)})
-
-    keys = ["dim", "block", "grp"]
-    found = held.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(run, "query_id bigint, vec_id bigint, score bigint")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    n, widest = rows.agg(F.count("*"), F.max(F.greatest(F.array_max("v"), -F.array_min("v")))).first()
+    blocks = 1 + n // block
+    # numbers travel as small as they are
+    kind = "smallint" if (widest or 0) < 1 << 15 else "int" if widest < 1 << 31 else "bigint"
+    v = F.col("v").cast(f"array<{kind}>").alias("v")
+    held = rows.select("dim", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int").alias("block"), F.lit(False).alias("asks"), "vec_id", v)
+    asked = rows.where("asks").dropDuplicates(["vec_id", "v"]).select("dim", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(True).alias("asks"), "vec_id", v)
+
+    def run(batches):
+        at, index, ids, parts = None, None, [], []
+        for batch in batches:
+            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(3)]
+            cuts = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1 if batch.num_rows > 1 else []
+            for first, last in zip(np.r_[0, cuts].astype(int), np.r_[cuts, batch.num_rows].astype(int), strict=True):
+                if last == first:
+                    continue
+                part, here = batch.slice(first, last - first), (cols[0][first], cols[1][first])
+                own = part.column(3).to_numpy()
+                matrix = np.asarray(part.column(4).flatten()).reshape(len(own), -1).astype(np.int64)
+                if here != at:
+                    at, index, ids, parts = here, None, [], []
+                if not cols[2][first]:
+                    ids.append(own)
+                    parts.append(matrix)
+                    continue
+                if not parts:
+                    continue  # no candidates of this length here
+                if index is None:
+                    index = ImpactIndex(np.concatenate(ids), np.concatenate(parts))
+                found = [(i, *index.top(q, i, k), zlib.crc32(q.tobytes())) for i, q in zip(own, matrix, strict=True)]
+                made = [(i, some[j], score[j], mark) for i, some, score, mark in found for j in best(some, score, k)]
+                columns = list(zip(*made, strict=True)) or [()] * 4
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(x, np.int64)) for x in columns], names=["query_id", "vec_id", "score", "mark"])
+
+    both = held.unionByName(asked).repartition("dim", "block").sortWithinPartitions("dim", "block", "asks")
+    found = both.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint, mark bigint")
+    order = Window.partitionBy("query_id", "mark").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

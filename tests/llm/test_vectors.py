@@ -1,5 +1,7 @@
 """Vector operators against brute force."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -19,7 +21,7 @@ def odd_vectors() -> list[tuple]:
         v = np.array(rows[i % 20][1]) + rng.normal(size=16) * 0.025 * (i % 3)
         rows.append((i, v.astype(np.float32).tolist(), None if i % 11 == 0 else rows[i % 20][2]))
     v = rows[0][1]
-    return [*rows, (500, None, 1), (501, [], 1), (502, [0.0] * 16, 1), (503, [None, *v[1:]], 1), (504, [float("nan"), *v[1:]], 1), (505, [float("inf"), *v[1:]], 1), (506, v[:8], 0), (None, v, 0), (0, v, 0), (520, v, 0), (540, v, 0), (560, [1e-30 * x for x in v], 0)]
+    return [*rows, (500, None, 1), (501, [], 1), (502, [0.0] * 16, 1), (503, [None, *v[1:]], 1), (504, [float("nan"), *v[1:]], 1), (505, [float("inf"), *v[1:]], 1), (506, v[:8], 0), (None, v, 0), (0, v, 0), (520, v, 0), (540, v, 0), (560, [1e-30 * x for x in v], 0), (20, rows[7][1], 1)]
 
 
 @pytest.fixture(scope="module")
@@ -31,20 +33,20 @@ def finite(v):
     return v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v)
 
 
-@pytest.mark.parametrize(("block", "group"), [(8192, 512), (60, 4)])
-def test_search_equals_brute_force(spark, frame, block, group):
+@pytest.mark.parametrize("block", [8192, 60])
+def test_search_equals_brute_force(spark, frame, block):
     rows = [(i, np.floor(64 * np.array(v, np.float32).astype(float)).astype(int)) for i, v, _ in odd_vectors() if i is not None and finite(v)]
-    got = sorted(map(tuple, topk.search(frame, F.col("vec_id") % 20 == 0, block=block, group=group).collect()))
-    want = {}
+    got = Counter(map(tuple, topk.search(frame, F.col("vec_id") % 20 == 0, block=block).collect()))
+    want, asked = Counter(), set()
     for i, q in rows:
-        if i % 20 == 0:
+        if i % 20 == 0 and (i, tuple(q)) not in asked:  # queries that repeat an id and vector count once
+            asked.add((i, tuple(q)))
             found = sorted((-int(q @ v), j) for j, v in rows if j != i and len(v) == len(q))
-            want.setdefault(i, []).append(found)
-    twice = [i for i in want if len(want[i]) > 1]
-    for i, found in want.items():
-        if i not in twice:
-            assert [(r[2], r[3]) for r in got if r[0] == i] == [(j, -s) for s, j in found[0][:20]]
+            want.update((i, k, j, -s) for k, (s, j) in enumerate(found[:20], 1))
+    assert got == want and len(asked) > len({i for i, _ in asked})
     assert topk.search(spark.createDataFrame([], SCHEMA), F.col("vec_id") % 20 == 0).count() == 0
+    wide = spark.createDataFrame([(20 * i, [1e6 * i, 1.0], 0) for i in range(5)], SCHEMA)
+    assert [(r.query_id, r.vec_id, r.score) for r in topk.search(wide, F.lit(True)).where("rank = 1").orderBy("query_id").collect()] == [(0, 20, 4096), (20, 80, 64**2 * (4 * 10**12 + 1)), (40, 80, 64**2 * (8 * 10**12 + 1)), (60, 80, 64**2 * (12 * 10**12 + 1)), (80, 60, 64**2 * (12 * 10**12 + 1))]
 
 
 def test_bounds_hold_and_stop_early():
@@ -91,12 +93,14 @@ def test_links_equal_brute_force(spark, frame):
     assert [tuple(r) for r in vectors.linked(alone).collect()] == [(1, 0, 1, True)]
 
 
-def test_recall_near_the_threshold(spark):
-    """The table's vectors with copies at angles on both sides of the threshold."""
+@pytest.mark.parametrize("common", [0.0, 1.0, 2.0])
+def test_recall_near_the_threshold(spark, common):
+    """The table's vectors, alone and with a direction that all share, with copies at angles on both sides of the threshold."""
     rng = np.random.default_rng(9)
     base = np.stack(spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").toPandas().embedding)
+    base = base + common * np.eye(base.shape[1])[3] * np.linalg.norm(base, axis=1).mean()
     noise = rng.normal(size=base.shape)
-    noise *= (rng.uniform(0.05, 0.25, len(base)) / np.linalg.norm(noise, axis=1))[:, None]
+    noise *= (rng.uniform(0.05, 0.25, len(base)) * np.linalg.norm(base, axis=1) / np.linalg.norm(noise, axis=1))[:, None]
     m = np.concatenate([base, base + noise]).astype(np.float32)
     label = np.arange(len(m)) % 5
     frame = spark.createDataFrame([(i, v.tolist(), int(n)) for i, (v, n) in enumerate(zip(m, label, strict=True))], SCHEMA)
@@ -105,3 +109,14 @@ def test_recall_near_the_threshold(spark):
     links = ((x @ x.T >= 0.98) & (label[:, None] == label[None, :])).sum(1) - 1
     got = vectors.linked(frame).toPandas().sort_values("vec_id").n_links.to_numpy()
     assert (got <= links).all() and got.sum() >= 0.98 * links.sum() > 1000
+
+
+@pytest.mark.parametrize("block", [1024, 7])
+def test_blocks_of_a_bucket_count_each_pair_once(spark, monkeypatch, block):
+    """One direction with many near copies, equal ones and one id on two vectors among them."""
+    rng = np.random.default_rng(10)
+    v = rng.normal(size=(60, 8)) * 0.02 + np.arange(1, 9)
+    rows = [(i // 2 if i < 4 else i, v[i % 50].astype(np.float32).tolist(), 1) for i in range(60)]
+    monkeypatch.setattr(vectors, "BLOCK", block)
+    got = vectors.linked(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == sorted((i, 59, 0) for i, _, _ in rows)
