@@ -1,4 +1,8 @@
-"""A corpus pipeline of five of the operators. Each stage takes what the one before kept; all but the last return the columns of documents."""
+"""A corpus pipeline of five of the operators. Each stage takes what the one before kept; all but the last return the columns of documents.
+
+In every stage a null text counts as empty, null ids and sources are values like others, rows that share an id are judged
+row by row but for lines (see there), other columns than those of documents go, and an empty table gives an empty table.
+"""
 
 from __future__ import annotations
 
@@ -15,19 +19,22 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def select_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on the labelled ones, keeps; others go."""
+    """Documents that the classifier, fitted on the labelled ones, keeps; others go. Empty texts are judged by their shape."""
     return quality.select_good(docs, table(spark, sf_dir, "labels"), [*COLUMNS]).select(COLUMNS)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without lines that an earlier one covers; a document that loses all its words goes. n_chars is the new length."""
+    """Texts without lines that an earlier one covers; a document that loses all its words goes, one that had none stays. n_chars is the new length.
+
+    Rows that share an id lose the same lines, by line number.
+    """
     made = lines.dedup(docs, ["doc_id", "lang", "source", "n_chars"], short=True)
     changed = F.col("n_removed") > 0
     return made.where(~changed | F.col("text").rlike(r"[^\x20\x09-\x0D]")).withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each class, of the smallest doc_id."""
+    """One row of each class, of the smallest doc_id, null last; rows without words stay."""
     return near.kept_rows(docs, COLUMNS)
 
 
@@ -42,7 +49,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text, and digests of them and of what they decode to."""
+    """Token ids of each text, and digests of them and of what they decode to; a null text has no ids."""
     made = bpe.encode_decode(docs, tokenizer("word_bpe_49k.json"), ["doc_id", "source"])
     return made.select("doc_id", "source", "ids", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
