@@ -186,14 +186,15 @@ def q_frame_messages(spark, sf_dir):
 
 def q_current_routes_decoded(spark, sf_dir):
     """The fold, fed by frames: routes, session starts, End-of-RIBs and Peer Downs."""
-    events = D.routed(through(loc(spark, sf_dir), "seq", "time").withColumn("router_id", D.loc_router()))
+    # kept, as the fold reads routes and each kind of marker apart
+    events = D.routed(through(loc(spark, sf_dir), "seq", "time").withColumn("router_id", D.loc_router())).persist()
     return plain(fold.current_routes(events).select(*KEY, "nexthop", "first_seen", "updated_at"))
 
 
 def q_adj_rib_in_decoded(spark, sf_dir):
     """The same of peers, whose router is named by the last Peer Up."""
     source = wrapped(adj(spark, sf_dir).withColumn("local_asn", F.col("peer_asn")))
-    rows = D.routed(D.identified(through(source, "seq", "time"), ["seq"]))
+    rows = D.routed(D.identified(through(source, "seq", "time").persist(), ["seq"])).persist()
     return plain(fold.adj_rib_in(D.adj_rib_in(rows)).select("router_id", "peer_address", "is_post_policy", "table_name", "afi", "prefix", "path_id", "peer_asn", "nexthop", "first_seen", "updated_at"))
 
 
@@ -385,4 +386,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames to events to current routes to their summary."""
-    return views.route_summary(fold.current_routes(roundtrip(spark, sf_dir)))
+    return views.route_summary(fold.current_routes(roundtrip(spark, sf_dir).persist()))
