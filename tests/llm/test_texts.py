@@ -79,6 +79,36 @@ def test_quality_ranks_held_out_documents(spark, empty):
     assert quality.select_good(docs, labels.limit(0), ["doc_id"]).columns == ["doc_id", "expected_grade", "p_tail"]
 
 
+def test_quality_likelihood_and_slopes():
+    """Against plain Python, and against small steps."""
+    rng = np.random.default_rng(11)
+    s, y, raw = rng.normal(size=30) * 2, rng.integers(0, 4, 30), np.array([-1.2, 0.1, -0.4])
+    t = [raw[0], raw[0] + math.exp(raw[1]), raw[0] + math.exp(raw[1]) + math.exp(raw[2])]
+    above = lambda x, k: 1.0 if k == 0 else 0.0 if k == 4 else 1 / (1 + math.exp(t[k - 1] - x))
+    value, by_score, by_raw = quality.slopes(s, y, raw)
+    assert value == pytest.approx(-sum(math.log(above(a, b) - above(a, b + 1)) for a, b in zip(s, y, strict=True)) / 30)
+    step = 1e-6
+    for x, slope in ((s, by_score), (raw, by_raw)):
+        for i in range(len(x)):
+            moved = [quality.slopes(*(z + sign * step * (np.arange(len(z)) == i) if z is x else z for z in (s,)), y, raw + sign * step * (np.arange(3) == i) if x is raw else raw)[0] for sign in (1, -1)]
+            assert slope[i] == pytest.approx((moved[0] - moved[1]) / (2 * step), abs=1e-6)
+
+
+def test_quality_fits_ordered_grades():
+    """Scores made by known weights: the fit finds their order, and thresholds in order; equal rows and one grade do no harm."""
+    rng = np.random.default_rng(12)
+    true = rng.normal(size=16)
+    rows = []
+    for _ in range(1500):
+        at = rng.permutation(16)[:5]
+        value = rng.normal(size=5)
+        rows.append((int(np.searchsorted([-1.0, 1.5], (true[at] * value).sum() + rng.logistic() * 0.3)), at, value.astype(np.float32)))
+    w, t = quality.fit(rows, 3, 4)
+    assert np.corrcoef(w[:16], true)[0, 1] > 0.95 and t[0] < t[1]
+    w, t = quality.fit([(1, np.array([2]), np.array([1.0], np.float32))] * 50, 3, 4)
+    assert np.isfinite(w).all() and t[0] < t[1]
+
+
 def test_quality_takes_odd_rows(spark, docs):
     labels = spark.createDataFrame([(i, i % 2, None if i % 7 == 0 else int(i % 3 == 0)) for i in range(100, 300)] + [(None, 1, 1), (100, 1, 0)], "doc_id bigint, quality int, toxic int")
     kept = quality.select_good(docs, labels, ["doc_id"], least=0.0)
@@ -100,27 +130,45 @@ def test_lattice_equals_brute_force(docs, rows, empty):
     n, v, ends = sum(counts.values()) + len(train), len(counts) + 1, len(train)
     vocab = lattice.Vocabulary(PIECES)
     words = sorted({w for _, t in rows for w in (t or "").encode().lower().split()})
-    for _ in range(2):  # sequentially, in plain probabilities
-        p = vocab.start if _ == 0 else p[:-1]
-        total = np.zeros(len(p))
-        for w, c in counts.items():
-            vocab.one(b" " + w, p, total, c)
-        full = np.r_[np.full(len(p), 0.05) + total, 0.05 + ends]
+    p, before = vocab.start, -math.inf
+    for _ in range(lattice.ROUNDS):  # sequentially, in plain probabilities
+        total = np.zeros(len(vocab.pieces))
+        value = sum(c * vocab.one(b" " + w, p[: len(total)], total, c) for w, c in counts.items())
+        full = np.r_[total + np.exp(vocab.start) * len(total), 0.05 + ends]
         p = np.log(full / full.sum())
+        if (value - before) / -value < lattice.GAIN:
+            break
+        before = value
     plain = dict(zip(vocab.pieces, np.exp(p[:-1]), strict=True))
     m = {w: marginal(b" " + w, plain) if len(w) < 100 else vocab.one(b" " + w, p[:-1]) for w in words}
+    # each token with its own occurrence left out
+    weight = max((x * v for x in lattice.WEIGHTS), key=lambda b: sum(c * (np.logaddexp(math.log(c - 1) if c > 1 else -math.inf, math.log(b) + m[w]) - math.log(n - 1 + b)) for w, c in counts.items()))
     want = []
     for i, t in rows:
         found = (t or "").encode().lower().split()
         base = sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in found) + math.log10((ends + 1) / (n + v + 1))
-        want.append((-1 if i is None else i, i is None or not trains(i), len(found) + 1, sum(counts[w] > 0 for w in found) + 1, n, base, (sum(m[w] for w in found) + p[-1]) / math.log(10)))
-    have = sorted([(-1 if math.isnan(r.doc_id) else int(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in got.itertuples()])
+        own = sum(np.logaddexp(math.log(counts[w]) if counts[w] else -math.inf, math.log(weight) + m[w]) / math.log(10) - math.log10(n + weight) for w in found) + math.log10((ends + weight * math.exp(p[-1])) / (n + weight))
+        want.append((-1 if i is None else i, i is None or not trains(i), len(found) + 1, sum(counts[w] > 0 for w in found) + 1, n, base, own, (sum(m[w] for w in found) + p[-1]) / math.log(10)))
+    have = sorted([(-1 if math.isnan(r.doc_id) else int(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score, r.lattice_score) for r in got.itertuples()])
     for a, b in zip(have, sorted(want), strict=True):
-        assert a[:5] == b[:5] and a[5] == pytest.approx(b[5], rel=1e-9) and a[6] == pytest.approx(b[6], rel=1e-3)
+        assert a[:5] == b[:5] and a[5] == pytest.approx(b[5], rel=1e-9) and a[6:] == pytest.approx(b[6:], rel=1e-3)
     assert lattice.score(empty, PIECES, F.lit(True)).count() == 0
     assert lattice.score(docs.limit(5), PIECES, F.lit(None).cast("boolean")).select(F.max("n_known")).first()[0] == 0
 
 
+def test_lattice_gains_by_training_words_on_held_out_texts(spark):
+    got = queries.op4_lattice_lm(spark, "/root/testdata/sf0.01").where("held_out").agg(F.sum("score"), F.sum("lattice_score")).first()
+    assert got[0] > 0.9 * got[1]
+
+
+def test_long_words_take_the_same_recursion():
+    rng, vocab = np.random.default_rng(8), lattice.Vocabulary(PIECES)
+    for size in (1, 5, 70, 400):
+        word = b" " + "".join(rng.choice(list("etaoinshrdlué"), size)).encode()
+        a, b = np.zeros(len(vocab.pieces)), np.zeros(len(vocab.pieces))
+        assert vocab.long(word, vocab.start, a, 3) == pytest.approx(vocab.one(word, vocab.start, b, 3)) and np.allclose(a, b)
+
+
 def edits(a: str, b: str) -> int:
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -165,8 +213,10 @@ def test_stripping_keeps_distances_and_bits_bound_them(spark):
         assert edits(r.s, r.t) == d and min(len(r.s), len(r.t)) > 2 and r.flips <= 4 * d
 
 
-def test_lines_that_share_a_segment_lose_no_link(spark):
+@pytest.mark.parametrize("crowd", [lines.CROWD, 2])
+def test_lines_that_share_a_segment_lose_no_link(spark, monkeypatch, crowd):
     """A few hundred lines with words replaced at two places share every segment; each pair within two edits is found, once."""
+    monkeypatch.setattr(lines, "CROWD", crowd)
     rng = np.random.default_rng(4)
     words = ["alpha", "bravo", "charlie", "delta", "echo", "foxtrot", "golf", "hotel", "india", "juliet", "kilo", "lima"]
     made = set()
@@ -253,6 +303,7 @@ def test_mix(docs, rows, empty):
         assert part.target.iloc[0] == pytest.approx(target[s]) and part.source_size.iloc[0] == size[s]
         assert abs(part.taken.sum() - target[s]) <= part["size"].max() and (part.taken <= 3 * part["size"]).all()
     again = mixing.mix(docs.repartition(5)).toPandas()
+    assert got.reps.max() <= 3
     key = ["doc_id", "source", "size", "taken"]
     assert sorted(map(str, got[key].values.tolist())) == sorted(map(str, again[key].values.tolist()))
     assert mixing.mix(empty).count() == 0
@@ -319,21 +370,21 @@ def test_consistent_weighted_sampling_estimates_similarity():
 
 
 def plain_passages(data: list[bytes], size: int, words: int) -> list[int]:
-    """Of each text, the runs of `words` words or more that strings cover which another row holds."""
-    held: dict[bytes, set[int]] = {}
+    """Of each text, the number of runs of `words` words or more that strings cover which another row holds."""
+    holder: dict[int, int] = {}  # of a string's hash: the row that holds it, -1 for several
     own: list[list[tuple[int, int]]] = []
+    key = lambda d, a, b, whole: hash((d[a:b], whole))  # noqa: E731  words count only whole
     for i, d in enumerate(data):
         at = [(m.start(), m.end()) for m in re.finditer(rb"[^\x00-\x20]+", d)]
-        spans = [(a[0], b[1]) for a, b in zip(at, at[words - 1 :], strict=False) if b[1] - a[0] <= size]
-        own.append(spans + [(k, k + size) for k in range(len(d) - size + 1)])
-        for a, b in spans:
-            held.setdefault(b" " + d[a:b], set()).add(i)  # words count only whole
-        for k in range(len(d) - size + 1):
-            held.setdefault(d[k : k + size], set()).add(i)
+        own.append([(a[0], b[1]) for a, b in zip(at, at[words - 1 :], strict=False) if b[1] - a[0] <= size])
+        for k in (*(key(d, a, b, True) for a, b in own[-1]), *(key(d, k, k + size, False) for k in range(len(d) - size + 1))):
+            if holder.setdefault(k, i) != i:
+                holder[k] = -1
     out = []
     for i, d in enumerate(data):
         runs: list[list[int]] = []
-        for a, b in sorted((a, b) for a, b in own[i] if len(held.get(b" " + d[a:b], ())) > 1 or (b - a == size and len(held[d[a:b]]) > 1)):
+        found = [(a, b) for a, b in own[i] if holder[key(d, a, b, True)] < 0] + [(k, k + size) for k in range(len(d) - size + 1) if holder[key(d, k, k + size, False)] < 0]
+        for a, b in sorted(found):
             if runs and a <= runs[-1][1]:
                 runs[-1][1] = max(runs[-1][1], b)
             else:
