@@ -22,9 +22,16 @@ def sizes(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 
 def ranked_weights(sources: DataFrame) -> DataFrame:
-    """Weights 1, 2, 3, repeating, over (source, source_size) rows by code point, null last. One row a source."""
-    order = Window.orderBy(F.col("source").isNull(), F.col("source").cast("binary"))
-    return sources.withColumn("weight", ((F.row_number().over(order) - 1) % 3 + 1).cast("long"))
+    """Weights 1, 2, 3, repeating, over (source, source_size) rows by code point, null last. One row a source.
+
+    Ranges of the order are numbered apart and moved by the rows before them, so no task holds all sources.
+    """
+    order = [F.col("source").isNull(), F.col("source").cast("binary")]
+    parts = cut(sources.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"range": F.spark_partition_id(), "place": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    # one row a range
+    moved = parts.groupBy("range").agg(F.count("*").alias("n")).select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    return parts.join(F.broadcast(moved), "range").withColumn("weight", ((F.col("place") + F.col("before")) % 3 + 1).cast("long")).drop("range", "place", "before")
 
 
 def water_fill(sources: DataFrame, total: int, epochs: int = 3) -> DataFrame:
@@ -57,7 +64,7 @@ def repetitions(sized: DataFrame, targets: DataFrame, key: list[str], seed: int
     sums = sums.withColumn("before", F.coalesce(F.sum("bucket_size").over(before), F.lit(0)))
     plan = targets.select(F.col("source").alias("s"), "source_size", "target", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long").alias("whole"))
     plan = plan.withColumn("quota", F.col("target") - F.col("whole") * F.col("source_size"))
-    marks = sums.join(plan, sums.source.eqNullSafe(plan.s)).select(F.col("source").alias("s"), F.col("bucket").alias("b"), "before", "source_size", "target", "whole", "quota", (F.col("before") + F.col("bucket_size") <= F.col("quota")).alias("all_in"), (F.col("before") >= F.col("quota")).alias("none_in"))
+    marks = sums.join(plan, sums.source.eqNullSafe(plan.s)).select(F.col("source").alias("s"), F.col("bucket").alias("b"), "before", "source_size", "target", "whole", "quota", ((F.col("quota") > 0) & (F.col("before") + F.col("bucket_size") <= F.col("quota"))).alias("all_in"), (F.col("before") >= F.col("quota")).alias("none_in"))
     joined = rows.join(marks, rows.source.eqNullSafe(marks.s) & (rows.bucket == marks.b)).drop("s", "b")
     clear = joined.where("all_in or none_in").withColumn("extra", F.when(F.col("all_in"), 1).otherwise(0))
     edge = Window.partitionBy("source", "bucket").orderBy("u", *key, "size", *ties).rowsBetween(Window.unboundedPreceding, -1)
@@ -72,7 +79,7 @@ def mix(docs: DataFrame, epochs: int = 3, seed: int = 11, weights=ranked_weights
 
     The mix has as many words as all documents; sources share it by weight, none over `epochs` times its size.
     Null text: size 0. Null source: a source of its own. Null ids and repeated rows: each row counts and is mixed by
-    itself. A source without words has target 0. An empty table gives no rows. The same rows give the same mix. Columns `ties` are kept and order rows of one id.
+    itself. A source without words has target 0, and its documents aren't taken. An empty table gives no rows. The same rows give the same mix. Columns `ties` are kept and order rows of one id.
     """
     sized = cut(sizes(docs, ["doc_id", "source", *ties]))
     per = cut(weights(sized.groupBy("source").agg(F.sum("size").alias("source_size"))))

@@ -115,17 +115,26 @@ def frequencies(docs: DataFrame, text: str) -> tuple[np.ndarray, int]:
             yield pa.RecordBatch.from_arrays([pa.array([*range(parts), -1], pa.int32()), pa.array([*(x.tobytes() for x in total.reshape(parts, width)), np.int64(n).tobytes()], pa.binary())], names=["part", "n"])
         forget()
 
-    got = {r.part: np.frombuffer(r.n, np.int64) for r in docs.select(text).mapInArrow(count, "part int, n binary").groupBy("part").applyInArrow(_summed, "part int, n binary").collect()}
+    # in two steps, so that no task reads what all others have made
+    tables = docs.select(text).mapInArrow(count, "part int, n binary").withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(16)))
+    for by in (["part", "salt"], ["part"]):
+        tables = tables.repartition(*by).select("part", "n").mapInArrow(_summed, "part int, n binary").withColumn("salt", F.lit(0))
+    got = {r.part: np.frombuffer(r.n, np.int64) for r in tables.collect()}
     table = np.concatenate([got[k] for k in range(parts)]) if got else np.zeros(1 << DF_BITS, np.int64)
     return table, int(got[-1][0]) if got else 0
 
 
-def _summed(key, table):
-    """Adds up one part of the tables that tasks have made."""
+def _summed(batches):
+    """Adds up the parts of tables that a task reads, one batch in memory at a time."""
     import pyarrow as pa
 
-    total = np.sum([np.frombuffer(x.as_py(), np.int64) for x in table.column(1)], axis=0)
-    return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "n": pa.array([total.tobytes()], pa.binary())})
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for part, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            n = np.frombuffer(raw.as_buffer(), np.int64)
+            total[part] = total[part] + n if part in total else n.copy()
+    if total:
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["part", "n"])
 
 
 def verify(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:

@@ -65,6 +65,19 @@ def pack(texts: list[str], bits: int) -> dict[str, list]:
     return {"at": [a.astype("<i4").tobytes() for a, _ in made], "value": [v.astype("<f4").tobytes() for _, v in made]}
 
 
+def slopes(s: np.ndarray, y: np.ndarray, raw: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """(mean negative log-likelihood of grades y at scores s, its slopes by score, its slopes by raw: the first threshold and the logarithms of the steps behind it)."""
+    t, n, each = np.cumsum(np.r_[raw[:1], np.exp(raw[1:])]), len(y), np.arange(len(y))
+    tail = np.c_[np.ones(n), 1 / (1 + np.exp(-np.clip(s[:, None] - t, -30, 30))), np.zeros(n)]
+    p = np.maximum(tail[each, y] - tail[each, y + 1], 1e-9)
+    slope = tail * (1 - tail)
+    gt, top = np.zeros(len(t)), len(t)
+    np.add.at(gt, y[y > 0] - 1, (slope[each, y] / p / n)[y > 0])
+    np.add.at(gt, y[y < top], -(slope[each, y + 1] / p / n)[y < top])
+    after = np.cumsum(gt[::-1])[::-1]  # a step moves all later thresholds
+    return -float(np.log(p).mean()), -(slope[each, y] - slope[each, y + 1]) / p / n, np.r_[after[:1], after[1:] * np.exp(raw[1:])]
+
+
 def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], grades: int, bits: int, epochs: int = 12, batch: int = 128, rate: float = 0.1, decay: float = 1e-5, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
     """(weights, thresholds) that maximise the likelihood of (grade, indices, values) rows, by Adam on shuffled batches."""
     width = (1 << bits) + SHAPES
@@ -80,18 +93,9 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], grades: int, bits: int,
             y = np.array([p[0] for p in part])
             at, value = np.concatenate([p[1] for p in part]), np.concatenate([p[2] for p in part]).astype(np.float64)
             row = np.repeat(np.arange(len(part)), [len(p[1]) for p in part])
-            s = np.bincount(row, w[at] * value, len(part))
-            t = np.cumsum(np.r_[raw[:1], np.exp(raw[1:])])
-            tail = np.c_[np.ones(len(part)), 1 / (1 + np.exp(-np.clip(s[:, None] - t, -30, 30))), np.zeros(len(part))]
-            p = np.maximum(tail[np.arange(len(part)), y] - tail[np.arange(len(part)), y + 1], 1e-9)
-            slope = tail * (1 - tail)
-            gs = -(slope[np.arange(len(part)), y] - slope[np.arange(len(part)), y + 1]) / p / len(part)
-            gt = np.zeros(len(t))
-            np.add.at(gt, y[y > 0] - 1, (slope[np.arange(len(part)), y] / p / len(part))[y > 0])
-            np.add.at(gt, y[y < grades - 1], -(slope[np.arange(len(part)), y + 1] / p / len(part))[y < grades - 1])
-            after = np.cumsum(gt[::-1])[::-1]  # a step moves all later thresholds
+            _, gs, gr = slopes(np.bincount(row, w[at] * value, len(part)), y, raw)
             step += 1
-            for j, (x, g) in enumerate(((w, np.bincount(at, gs[row] * value, width) + decay * w), (raw, np.r_[after[:1], after[1:] * np.exp(raw[1:])]))):
+            for j, (x, g) in enumerate(((w, np.bincount(at, gs[row] * value, width) + decay * w), (raw, gr))):
                 m[j] += 0.1 * (g - m[j])
                 v[j] += 0.01 * (g * g - v[j])
                 x -= speed * (m[j] / (1 - 0.9**step)) / (np.sqrt(v[j] / (1 - 0.99**step)) + 1e-8)
@@ -102,11 +106,13 @@ def train(docs: DataFrame, graded: DataFrame, grades: int, bits: int = 18, most:
     """Fits on at most `most` graded rows (doc_id, grade), those of smallest hash of doc_id.
 
     The bound is the operator's documented parameter: it limits what the driver holds (most * words of a text)
-    and what is broadcast. Null ids and grades outside 0..grades-1 take no part; a doc_id graded twice counts twice.
+    and what is broadcast. Null ids and grades outside 0..grades-1 take no part; a doc_id with two grades counts twice;
+    of rows that share an id, the text of smallest hash is taken.
     """
     sample = graded.where(F.col("doc_id").isNotNull() & F.col("grade").between(0, grades - 1)).select("doc_id", F.col("grade").cast("int").alias("grade"))
     sample = sample.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id", "grade").limit(most)
-    joined = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    joined = docs.select("doc_id", "text").join(F.broadcast(sample.distinct()), "doc_id")
+    joined = joined.groupBy("doc_id", "grade").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
     rows = map_text(joined, lambda texts: pack(texts, bits), ["doc_id", "grade"], "text", "at binary, value binary", forget).collect()
     rows.sort(key=lambda r: (r.doc_id, r.grade, bytes(r.at)))
     return fit([(r.grade, np.frombuffer(r.at, "<i4"), np.frombuffer(r.value, "<f4")) for r in rows], grades, bits, **options)
