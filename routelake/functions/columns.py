@@ -97,5 +97,11 @@ def sort_key(prefix: Column | str) -> Column:
     return F.struct(family(prefix), h["hi"].bitwiseXOR(low), h["lo"].bitwiseXOR(low), masklen(prefix))
 
 
+def attrs_json(attrs: Column | str) -> Column:
+    """JSON text of attributes by name, in the order of names; null for none."""
+    sorted_ = F.array_sort(F.map_entries(_c(attrs)))
+    return bound(sorted_, lambda x: F.when(F.size(x) > 0, F.to_json(F.map_from_entries(x))))
+
+
 def contains_all(array: Column | str, values: list[str]) -> Column:
     return F.size(F.array_except(F.array(*map(F.lit, values)), _c(array))) == 0

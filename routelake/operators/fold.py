@@ -3,7 +3,8 @@
 Events carry seq (a total order), time and kind: route, eor, peer_up, peer_down. A marker becomes a purge (at, below):
 it removes what was last announced before `below` and takes place at `at`. A Peer Down purges all before itself; an
 End-of-RIB all before the session start that precedes it. A route is live if its last event is an announcement and no
-purge is below it. Purges are few; they come to the routes by joins on their scope, and routes shuffle once, by key.
+purge is below it. Purges are few; they come to the routes by joins on their scope. While Spark finds them small enough to
+broadcast, routes shuffle once, by key; beyond that they are also dealt by each scope, up to three times.
 """
 
 from __future__ import annotations

@@ -229,6 +229,7 @@ def test_networks(spark):
     assert views.match_one(nets, "10.1.2.3").first().prefix == "10.1.0.0/16" and views.match_one(nets, "2001:db8::7").first().prefix == "2001:db8::/32"
     order = [r.prefix for r in spark.createDataFrame([("2001:db8::/32",), ("10.0.0.0/16",), ("10.0.0.0/8",), ("9.0.0.0/8",), ("200.0.0.0/8",), ("fe80::/10",)], "prefix string").orderBy(C.sort_key("prefix")).collect()]
     assert order == ["9.0.0.0/8", "10.0.0.0/8", "10.0.0.0/16", "200.0.0.0/8", "2001:db8::/32", "fe80::/10"]
+    assert [r.x for r in spark.sql("select map('b', 'dead', 'a', '1') as m union all select map()").select(C.attrs_json("m").alias("x")).collect()] == ['{"a":"1","b":"dead"}', None]
     paths = [("64496 64497", 64497), (" 1  2 ", 2), ("1 {2,3}", None), ("", None), (None, None), ("12x", 12)]
     assert all(r.x == r.want for r in spark.createDataFrame(paths, "p string, want bigint").select(C.origin_asn("p").alias("x"), "want").collect())
 
