@@ -75,7 +75,9 @@ class Json:
 def parsed(records: DataFrame, value: str, keys: tuple[str, ...]) -> DataFrame:
     """Adds _f, a struct of variants by key, read in one pass (of a key that comes twice, the last), and _object: whether the record is an object."""
     text = F.col(value).cast("string")
-    rows = records.withColumn("_f", F.from_json(text, ", ".join(f"{k} VARIANT" for k in (*keys, "base_attrs")) + ", _bad STRING", {"columnNameOfCorruptRecord": "_bad"}))
+    fields = F.from_json(text, ", ".join(f"{k} VARIANT" for k in (*keys, "base_attrs")) + ", _bad STRING", {"columnNameOfCorruptRecord": "_bad"})
+    # generated, not selected: filters above would else be moved below and parse the record again, once a field
+    rows = records.select("*", F.explode(F.array(fields)).alias("_f"))
     return rows.withColumn("_object", F.coalesce(F.startswith(F.ltrim(text, F.lit(" \t\r\n")), F.lit("{")) & F.col("_f").isNotNull() & F.col("_f._bad").isNull(), F.lit(False)))
 
 
