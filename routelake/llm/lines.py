@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from .common import cut, small, stored
 
 THRESHOLD, LEAST = 2, 30
+#: Lines that share a segment; where there are more, they only meet if a part of their bits agrees too.
+CROWD = 256
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -61,6 +63,26 @@ def pair_bits(line: Column) -> Column:
     return F.aggregate(letters(line), F.struct(F.lit("").alias("last"), none.alias("lo"), none.alias("hi")), step)
 
 
+def bit_parts(lo: Column, hi: Column, parts: int) -> list[Column]:
+    """At least `parts` parts of the 128 bits. Bits that differ in fewer than `parts` places agree in a part."""
+    each = -(-parts // 2)
+    width = -(-64 // each)
+    return [F.shiftrightunsigned(w, i * width).bitwiseAND(F.lit((1 << width) - 1)) for w in (lo, hi) for i in range(each)]
+
+
+def numbered_parts(lo: Column, hi: Column, parts: int) -> Column:
+    """array<bigint> of the parts, each with its number in the lowest five bits."""
+    return F.array(*(F.call_function("shiftleft", p, F.lit(5)).bitwiseOR(F.lit(i)) for i, p in enumerate(bit_parts(lo, hi, parts))))
+
+
+def first_agreeing(lo: Column, hi: Column, parts: int) -> Column:
+    """The number of the first part that agrees, of bits that differ where lo and hi are set."""
+    found = None
+    for i, p in reversed(list(enumerate(bit_parts(lo, hi, parts)))):
+        found = F.when(p == 0, i) if found is None else F.when(p == 0, i).otherwise(found)
+    return found
+
+
 def common(a: str, b: str, last: bool, most: Column) -> Column:
     """Length, `most` at the most, of what a and b share at their beginning (or end): longer and longer steps would overrun, so from the largest down."""
     steps = F.array(*(F.lit(1 << k) for k in range(20, -1, -1)))
@@ -145,7 +167,8 @@ def near_lines(docs: DataFrame, threshold: int = THRESHOLD, least: int = LEAST,
 
     A segment that one line alone has in the index gives pairs at once. What probes a segment of several lines is kept
     as (segment, line), a row for each probe; their pairs are then made where pair_bits() differ in no more bits than
-    the threshold allows, so that a segment which many lines share doesn't give all its pairs. With `short`, lines under
+    the threshold allows, so that a segment which many lines share doesn't give all its pairs; of more than CROWD lines
+    only those are compared that agree in one of more parts of these bits than the threshold can change. With `short`, lines under
     `least` characters are among the distinct ones, without probes and links.
     """
     # a second hash keeps apart lines that agree in the first; its lowest bit says if the line is long enough for links
@@ -153,25 +176,31 @@ def near_lines(docs: DataFrame, threshold: int = THRESHOLD, least: int = LEAST,
     rows = lines(docs).where(F.length("line") >= (1 if short else least)).select(F.xxhash64("line").alias("key"), key2.alias("key2"), place_of().alias("at"), "line")
     made = probe_keys(F.col("line"), threshold)
     names = [f"k{i}" for i in range(len(made))]
-    # short lines have keys too, not used: conditions around them would keep Spark from sharing what the keys have in common
-    keyed = rows.select("key", "key2", "at", *(h.alias(k) for k, (_, h) in zip(names, made, strict=True)))
+    # 0 for short lines, by a product: conditions would keep Spark from sharing what the keys have in common
+    long_enough = F.col("key2").bitwiseAND(F.lit(1)).cast("long")
+    keyed = rows.select("key", "key2", "at", *((h * long_enough).alias(k) for k, (_, h) in zip(names, made, strict=True)))
     # numbers only, so that equal lines are added up by hash before the shuffle
     distinct = stored(keyed.groupBy("key", "key2").agg(F.min("at").alias("at"), F.count("*").alias("n"), *(F.max(k).alias(k) for k in names)))
     own = [k for k, (x, _) in zip(names, made, strict=True) if x]
     probing = distinct.where(F.col("key2").bitwiseAND(F.lit(1)) == 1)
     index = probing.select(F.col("key").alias("a"), F.explode(F.array(*own)).alias("value")).groupBy("value").agg(F.min("a").alias("a"), F.count("*").alias("held"))
     probes = probing.select(F.col("key").alias("b"), F.explode(F.array(*(F.struct(F.col(k).alias("value"), F.lit(x).alias("own")) for k, (x, _) in zip(names, made, strict=True)))).alias("p")).select("b", "p.*")
-    met = cut(probes.join(index, "value").where("held > 1 or a <> b"))
-    shared = met.where("held > 1").select("value", "b", "own")
+    # the index has one row a segment, so the map of a partition is no larger than its share of them; probes needn't be sorted
+    met = cut(probes.join(index.hint("shuffle_hash"), "value").where("held > 1 or a <> b"))
+    shared = met.where("held > 1").select("value", "b", "own", "held")
     alone = met.where("held = 1").select("a", "b")
     wanted = cut(met.select(F.col("b").alias("k"), F.col("held") > 1).union(alone.select("a", F.lit(False))).toDF("k", "shared").groupBy("k").agg(F.max("shared").alias("shared")).join(distinct.select(F.col("key").alias("k"), "at"), "k"))
     some = small(wanted)
     bits = F.when(F.col("shared"), pair_bits(F.col("line")))
     text = cut(rows.join(some, (rows.key == some.k) & (rows.at == some["at"])).select("key", "line", "shared").dropDuplicates(["key", "line"]).withColumn("bits", bits).select("key", "line", "bits.lo", "bits.hi"))
-    marked = shared.join(text.select(F.col("key").alias("b"), "lo", "hi"), "b")
-    members = marked.where("own").select("value", F.col("b").alias("a"), F.col("lo").alias("lo_a"), F.col("hi").alias("hi_a"))
-    flips = F.bit_count(F.col("lo").bitwiseXOR(F.col("lo_a"))) + F.bit_count(F.col("hi").bitwiseXOR(F.col("hi_a")))
-    like = members.join(marked.drop("own"), "value").where((F.col("a") != F.col("b")) & (flips <= 4 * threshold)).select("a", "b")
+    crowded = F.when(F.col("held") > CROWD, numbered_parts(F.col("lo"), F.col("hi"), 4 * threshold + 1)).otherwise(F.array(F.lit(-1).cast("long")))
+    marked = shared.join(text.select(F.col("key").alias("b"), "lo", "hi"), "b").withColumn("part", F.explode(crowded)).drop("held")
+    members = marked.where("own").select("value", "part", F.col("b").alias("a"), F.col("lo").alias("lo_a"), F.col("hi").alias("hi_a"))
+    lo, hi = F.col("lo").bitwiseXOR(F.col("lo_a")), F.col("hi").bitwiseXOR(F.col("hi_a"))
+    flips = F.bit_count(lo) + F.bit_count(hi)
+    # a pair is made in the first part that agrees, not in each
+    once = (F.col("part") < 0) | (F.col("part").bitwiseAND(F.lit(31)) == first_agreeing(lo, hi, 4 * threshold + 1))
+    like = members.join(marked.drop("own"), ["value", "part"]).where((F.col("a") != F.col("b")) & (flips <= 4 * threshold) & once).select("a", "b")
     pairs = cut(alone.union(like).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     both = pairs.join(text.select(F.col("key").alias("a"), F.col("line").alias("s")), "a").join(text.select(F.col("key").alias("b"), F.col("line").alias("t")), "b")
     both = stripped(both.where((F.abs(F.length("s") - F.length("t")) <= threshold) & agreeing("s", "t", threshold)), "s", "t", threshold)
@@ -191,7 +220,8 @@ def removed_lines(docs: DataFrame, threshold: int = THRESHOLD, least: int = LEAS
     ends = links.join(at.select(F.col("key").alias("a"), F.col("at").alias("at_a")), "a").join(at.select(F.col("key").alias("b"), F.col("at").alias("at_b")), "b")
     later = ends.select(F.when(F.col("at_a") > F.col("at_b"), F.col("a")).otherwise(F.col("b")).alias("key")).distinct().withColumn("later", F.lit(True))
     # only lines that occur again, or come later than one like them, have something to remove
-    acts = distinct.join(later, "key", "left").where("n > 1 or later").select("key", F.when(F.col("later"), None).otherwise(F.col("at")).alias("kept_at"))
+    # written, so that a line of very many rows can be split where it meets its row here
+    acts = stored(distinct.join(later, "key", "left").where("n > 1 or later").select("key", F.when(F.col("later"), None).otherwise(F.col("at")).alias("kept_at")))
     found = lines(docs).where(F.length("line") >= (1 if short else least)).select(F.xxhash64("line").alias("key"), "doc_id", "line_no")
     return found.join(acts, "key").where(F.col("kept_at").isNull() | (place_of() != F.col("kept_at"))).select("doc_id", "line_no")
 
@@ -201,11 +231,13 @@ def dedup(docs: DataFrame, keep: list[str], threshold: int = THRESHOLD, least: i
 
     Lines are split at line feeds and compared without white space around. Null text stays null, without lines; blank
     lines stay, and unless `short` is set all lines under `least` characters. Rows that repeat a doc_id count as one
-    document: what goes from one goes from all, by line number. An empty table gives none.
+    document: what goes from one goes from all, by line number. doc_id is a whole number. An empty table gives none.
     """
     gone = removed_lines(docs, threshold, least, short).distinct().groupBy("doc_id").agg(F.collect_list("line_no").alias("gone"))
     rows = docs.select(*dict.fromkeys([*keep, "text"]))
     joined = rows.join(gone.withColumnRenamed("doc_id", "gone_id"), F.col("doc_id").eqNullSafe(F.col("gone_id")), "left")
     split = F.split("text", "\n", -1)
-    rest = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.filter(split, lambda x, i: ~F.array_contains("gone", i)), "\n"))
+    # array_except works by hash; the parts are bound to a variable, or each line would split the text again
+    left = lambda p: F.transform(F.array_except(F.sequence(F.lit(0), F.size(p["lines"]) - 1), p["gone"]), lambda i: F.get(p["lines"], i))
+    rest = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.transform(F.array(F.struct(split.alias("lines"), "gone")), lambda p: F.array_join(left(p), "\n"))[0])
     return joined.select(*(k for k in keep if k != "text"), rest.alias("text"), F.coalesce(F.size(split), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"))
