@@ -240,6 +240,7 @@ def test_state_and_history_have_queries_of_their_own(spark, tmp_path):
     records = frames.encoded(source, ["seq"]).select("value", F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("seq").alias("offset"), F.timestamp_seconds("seq").alias("timestamp"))
     records.coalesce(1).write.parquet(str(tmp_path / "in"))
     store = Store(spark, str(tmp_path / "out"))
+    store.create()
     stream = lambda: frames.file_stream(spark, str(tmp_path / "in"))
     ingest(store, stream(), str(tmp_path / "c1"), pipelines=("history",), compress=True).awaitTermination()
     assert store.history.read().count() == 50 and store.current.read().count() == 0
