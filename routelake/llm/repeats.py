@@ -79,22 +79,24 @@ def piece(data: bytes, start: np.ndarray, stop: np.ndarray, most: int, size: int
     while 2 << (len(least) - 1) <= min(width, grams):
         half = 1 << (len(least) - 1)
         least.append(np.minimum(least[-1][:-half], least[-1][half:]))
-    made = []
     count = stop - start - GRAM + 1
-    level = np.frexp(count.astype(np.float64))[1] - 1
-    for k in np.unique(level):
-        s, n = start[level == k], count[level == k]
-        made.append(np.minimum(least[k][s], least[k][s + n - (1 << int(k))]))
+    lowest, level = np.empty(len(count), np.uint64), np.frexp(count.astype(np.float64))[1] - 1
+    for k in range(level.min(initial=0), level.max(initial=-1) + 1):
+        some = level == k
+        s = start[some]
+        lowest[some] = np.minimum(least[k][s], least[k][s + count[some] - (1 << k)])
+    made = [lowest]
     whole = min(most, len(data) - size + 1)
     if whole > 0:
-        after = np.searchsorted(start, np.arange(1, whole + 1))
-        ends = np.r_[stop, len(data) + size][after]
-        own = np.flatnonzero(ends >= np.arange(whole) + size)
+        # the first of the other windows that begins behind each place
+        begins = np.zeros(len(data) + 1, np.int32)
+        begins[start] = 1
+        ends = np.r_[stop, len(data) + size][np.cumsum(begins[:whole])]
+        own = np.flatnonzero(ends >= np.arange(size, whole + size))
         k = width.bit_length() - 1
         made.append(np.minimum(least[k][own], least[k][own + width - (1 << k)]))
-    if not made:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    at = np.unique((np.concatenate(made) & np.uint64(2**32 - 1)).astype(np.int64))
+    # neighbouring windows mostly have the same
+    at = np.unique(np.concatenate([(x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x) & np.uint64(2**32 - 1) for x in made]).astype(np.int64))
     return at, h[at]
 
 
@@ -190,6 +192,14 @@ def ordered(group: np.ndarray, left: list[bytes], right: list[bytes], doc: np.nd
                 new = order[step]
                 fresh[~same] = np.where(np.r_[False, group[new[1:]] == group[new[:-1]]], 0, -1)[~same]
                 lcp, order = fresh, new
+        if o % 8 == 7:
+            # what shares less with its neighbours than reaches over the gram never shares more from further left
+            reach = np.maximum(lcp, np.r_[lcp[1:], -1]) >= o + GRAM
+            if not reach.all():
+                kept = np.flatnonzero(reach)
+                if len(kept) < 2:
+                    break
+                lcp, order = np.r_[-1, _range_min(lcp, kept[:-1] + 1, kept[1:] + 1)], order[kept]
         joined = lcp >= size
         if joined.any():
             # only suffixes in runs of long common prefixes have a factor of `size`
