@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from routelake.llm import bpe, lattice, lines, mixing, near, quality, queries, repeats, secrets
+from routelake.llm import bpe, common, lattice, lines, mixing, near, quality, queries, repeats, secrets
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -512,3 +512,13 @@ def test_markov_models_tell_random_strings_from_identifiers(spark):
     plain = ["read_the_documentation_first", "thentinreonthereatanderstion", "configuration-of-the-engine"]
     got = [r.x for r in spark.createDataFrame([(s,) for s in random + plain], "s string").select(secrets.ratio(F.col("s"), table).alias("x")).collect()]
     assert min(got[:3]) >= 12 > max(got[3:])
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    files = lambda: {x for x in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if "shuffle_" in x}
+    before, setting = files(), spark.conf.get(common.CLEANUP)
+    made = common.stored(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    after = files()
+    assert after <= before and spark.conf.get(common.CLEANUP) == setting
+    assert sorted(r["count"] for r in made.collect()) == [142, 143, 143, 143, 143, 143, 143]
+    common.discard(made)
