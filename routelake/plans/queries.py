@@ -186,15 +186,17 @@ def q_frame_messages(spark, sf_dir):
 
 def q_current_routes_decoded(spark, sf_dir):
     """The fold, fed by frames: routes, session starts, End-of-RIBs and Peer Downs."""
-    # kept, as the fold reads routes and each kind of marker apart
-    events = D.routed(through(loc(spark, sf_dir), "seq", "time").withColumn("router_id", D.loc_router())).persist()
+    # kept, as the fold reads routes and each kind of marker apart; only what it reads
+    events = D.routed(through(loc(spark, sf_dir), "seq", "time").withColumn("router_id", D.loc_router())).select("seq", "time", "kind", *KEY, "action", "nexthop").persist()
     return plain(fold.current_routes(events).select(*KEY, "nexthop", "first_seen", "updated_at"))
 
 
 def q_adj_rib_in_decoded(spark, sf_dir):
     """The same of peers, whose router is named by the last Peer Up."""
     source = wrapped(adj(spark, sf_dir).withColumn("local_asn", F.col("peer_asn")))
-    rows = D.routed(D.identified(through(source, "seq", "time").persist(), ["seq"])).persist()
+    # kept once, before routers are named: these are few names, met without a shuffle
+    events = D.routed(through(source, "seq", "time")).select("seq", "time", "kind", "is_loc_rib", "router_hash", "frame_ip", "header_router", "local_bgp_id", "peer_address", "peer_asn", "is_post_policy", "table_name", "afi", "prefix", "path_id", "action", "nexthop").persist()
+    rows = D.identified(events, ["seq"])
     return plain(fold.adj_rib_in(D.adj_rib_in(rows)).select("router_id", "peer_address", "is_post_policy", "table_name", "afi", "prefix", "path_id", "peer_asn", "nexthop", "first_seen", "updated_at"))
 
 
